@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import mixing, simhash, urlfilter, warc
+from fleetlens.llm import forest, langid, licenses, mixing, ranking, simhash, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,19 @@ FROM x
 """
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predictions(docs, langid.train(docs))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -118,12 +131,23 @@ FROM f WHERE nth = 1
 """
 
 
+def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forest.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
+    )
+
+
 def queries() -> dict:
     return {
         "op2_warc": op2_warc,
         "op3_mixing": op3_mixing,
+        "op4_licenses": op4_licenses,
+        "op5_quality": op5_quality,
+        "op7_language": op7_language,
         "op8_simhash": op8_simhash,
         "op9_url_rules": op9_url_rules,
+        "op10_rules": op10_rules,
     }
 
 
