@@ -39,25 +39,32 @@ def _words(text: Column) -> Column:
 
 
 def raw_tokens(text: Column) -> Column:
-    """The words that stand where canonical_tokens has its tokens, in lower case."""
+    """The words that stand where canonical() has its tokens, in lower case."""
     return _words(F.lower(_digits_apart(text)))
 
 
-def canonical_tokens(text: Column) -> Column:
-    """Words in lower case with placeholders. A name is a capitalised word that starts no sentence."""
-    apart = _digits_apart(text)
-    starts = F.regexp_replace(apart, "(^|[.!?:\n][\"' ]*)([A-Z])", "$1¬$2")
-    named = F.regexp_replace(starts, r" [A-Z][a-z\x{80}-\x{10FFFF}]+", f" {NAME}")
-    plain = F.lower(F.translate(named, "¬", ""))
-    numbered = F.regexp_replace(plain, "[0-9]+", NUMBER)
+def _plain(text: Column) -> Column:
+    """Lower case with names replaced. A name is a capital and letters after a space, before which stands neither a
+    quote, a space, nor the end of a sentence or line."""
+    name = r"""[A-Z](?<=[^.!?:\n"' ] .)[^\x00-\x60\x7B-\x7F]+"""  # a capital is rarer than what stands before it
+    return F.lower(F.regexp_replace(_digits_apart(text), name, NAME))
+
+
+def canonical(table: DataFrame) -> DataFrame:
+    """table with its column text replaced by tokens: words in lower case, and placeholders."""
+    numbered = F.regexp_replace("plain", "[0-9]+", NUMBER)
     united = F.regexp_replace(numbered, f"{NUMBER} ({UNITS})([^a-z]|$)", f"{NUMBER} {UNIT}$2")
-    return _words(F.when(text.rlike("[0-9]"), united).otherwise(plain))
+    others = [c for c in table.columns if c != "text"]
+    plain = table.select(*others, _plain(F.col("text")).alias("plain"))  # a step of its own, so that it runs once
+    return plain.select(*others, _words(F.when(F.col("plain").rlike("[0-9]"), united).otherwise(F.col("plain"))).alias("tokens"))
 
 
 def _windows(table: DataFrame, key: str, width: int) -> DataFrame:
     """(key, pos, h) of every window of a table (key, tokens)."""
-    hashed = F.expr(f"transform(sequence(0, size(tokens) - {width}), i -> xxhash64(slice(tokens, i + 1, {width})))")
-    return table.where(F.size("tokens") >= width).select(key, F.posexplode(hashed).alias("pos", "h"))
+    hashed = F.expr(
+        f"if(size(tokens) < {width}, array(), transform(sequence(0, size(tokens) - {width}), i -> xxhash64(slice(tokens, i + 1, {width}))))"
+    )
+    return table.select(key, F.posexplode(hashed).alias("pos", "h"))
 
 
 def leaks(
@@ -72,8 +79,8 @@ def leaks(
     found. Items with a null id are left out. Empty tables give an empty result; other columns are not read.
     """
     items = keep(
-        benchmark.where("item_id is not null").select(
-            "item_id", canonical_tokens(F.col("text")).alias("tokens"), raw_tokens(F.col("text")).alias("words")
+        canonical(
+            benchmark.where("item_id is not null").select("item_id", "text", raw_tokens(F.col("text")).alias("words"))
         ),
         "items",
     )
@@ -82,9 +89,7 @@ def leaks(
     near = F.broadcast if small else (lambda df: df)
     texts = docs.select("doc_id", "text").where("text is not null")
     met = keep(
-        _windows(texts.select("doc_id", canonical_tokens(F.col("text")).alias("tokens")), "doc_id", width).join(
-            near(item_windows), "h"
-        ),
+        _windows(canonical(texts), "doc_id", width).join(near(item_windows), "h"),
         "met",
     )
     totals = item_windows.groupBy("item_id").agg(F.countDistinct("h").alias("n_item_windows"))

@@ -5,13 +5,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import forest, langid, licenses, mixing, ranking, simhash, urlfilter, warc
+from fleetlens.llm import decontam, forest, langid, licenses, mixing, ranking, simhash, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The same templates with patterns that look nowhere back: sentence starts are marked first. Slots are compared along
+# alignments, as in the operator; windows are compared as texts.
+OP1_SQL = r"""
+WITH t AS (
+  SELECT true AS is_doc, doc_id AS id, text FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT false, item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), a AS (
+  SELECT is_doc, id, CASE WHEN regexp_matches(text, '[0-9]') THEN
+    regexp_replace(regexp_replace(text, '([0-9])[.,]([0-9])', '\1\2', 'g'), '([0-9])([A-Za-z%])', '\1 \2', 'g') ELSE text END AS apart
+  FROM t
+), p AS (
+  SELECT is_doc, id, apart, regexp_replace(regexp_replace(lower(replace(regexp_replace(
+      regexp_replace(apart, '(^|[.!?:\n"'' ]) ([A-Z])', '\1 ¬\2', 'g'),
+      ' [A-Z][^\x00-\x60\x7B-\x7F]+', ' ⓝ', 'g'), '¬', '')), '[0-9]+', '⓪', 'g'),
+    '⓪ (UNITS)([^a-z]|$)', '⓪ ⓤ\2', 'g') AS plain
+  FROM a
+), w AS (
+  SELECT is_doc, id,
+    list_filter(regexp_split_to_array(plain, 'SEPARATORS'), lambda x: x <> '') AS tokens,
+    list_filter(regexp_split_to_array(lower(apart), 'SEPARATORS'), lambda x: x <> '') AS words
+  FROM p
+), v AS (
+  SELECT is_doc, id, i AS pos, tokens[i:i + 4] AS win, words[i:i + 4] AS own
+  FROM w, unnest(range(1, len(tokens) - 3)) AS u(i) WHERE len(tokens) >= 5
+), m AS (
+  SELECT d.id AS doc_id, b.id AS item_id, d.pos - b.pos AS shift, b.win, d.own AS theirs, b.own AS ours
+  FROM v d JOIN v b ON d.win = b.win AND d.is_doc AND NOT b.is_doc
+), n AS (
+  SELECT id AS item_id, count(DISTINCT win) AS n_item_windows FROM v WHERE NOT is_doc GROUP BY id
+), s AS (
+  SELECT DISTINCT doc_id, item_id, shift, win[k] AS kind, ours[k] AS ours, theirs[k] AS theirs
+  FROM m, unnest(range(1, 6)) AS u(k) WHERE regexp_matches(win[k], '[⓪ⓝⓤ]')
+), bad AS (
+  SELECT DISTINCT doc_id, item_id, shift FROM s GROUP BY doc_id, item_id, shift, kind, ours HAVING count(DISTINCT theirs) > 1
+), h AS (
+  SELECT m.doc_id, m.item_id, count(DISTINCT m.win) AS n_windows FROM m
+  LEFT JOIN bad ON m.doc_id IS NOT DISTINCT FROM bad.doc_id AND m.item_id = bad.item_id AND m.shift = bad.shift
+  WHERE bad.item_id IS NULL GROUP BY m.doc_id, m.item_id
+), c AS (
+  SELECT s.doc_id, s.item_id, count(DISTINCT (s.kind, s.ours)) AS n_slots,
+    count(DISTINCT CASE WHEN s.ours <> s.theirs THEN (s.kind, s.ours) END) AS n_changed
+  FROM s LEFT JOIN bad ON s.doc_id IS NOT DISTINCT FROM bad.doc_id AND s.item_id = bad.item_id AND s.shift = bad.shift
+  WHERE bad.item_id IS NULL GROUP BY s.doc_id, s.item_id
+)
+SELECT h.doc_id, h.item_id, n_windows, n_item_windows, coalesce(n_slots, 0) AS n_slots, coalesce(n_changed, 0) AS n_changed
+FROM h JOIN n ON h.item_id = n.item_id
+LEFT JOIN c ON h.doc_id IS NOT DISTINCT FROM c.doc_id AND h.item_id = c.item_id
+WHERE n_windows >= ceil(0.8 * n_item_windows - 1e-9)
+""".replace("UNITS", decontam.UNITS).replace("SEPARATORS", decontam.SEPARATORS)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -140,6 +195,7 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_warc": op2_warc,
         "op3_mixing": op3_mixing,
         "op4_licenses": op4_licenses,
@@ -152,4 +208,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op3_mixing": OP3_SQL, "op9_url_rules": OP9_SQL}
+    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op3_mixing": OP3_SQL, "op9_url_rules": OP9_SQL}
