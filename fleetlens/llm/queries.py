@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import decontam, forest, langid, licenses, mixing, ranking, simhash, urlfilter, warc
+from fleetlens.llm import decontam, forest, langid, licenses, mixing, passages, ranking, simhash, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,6 +136,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predictions(docs, langid.train(docs))
@@ -200,6 +204,7 @@ def queries() -> dict:
         "op3_mixing": op3_mixing,
         "op4_licenses": op4_licenses,
         "op5_quality": op5_quality,
+        "op6_passages": op6_passages,
         "op7_language": op7_language,
         "op8_simhash": op8_simhash,
         "op9_url_rules": op9_url_rules,
