@@ -23,6 +23,8 @@ from fleetlens.llm.scratch import keep, small_batches
 SEED = 42
 MAX_BITS = 3
 SEGMENT = 32
+BLANKS = SEGMENT + 1
+KEY_BITS = SEGMENT + 7
 SHINGLE_WORDS = 3
 HOT_SEGMENT = 2_000
 CHUNK = 1 << 16
@@ -61,10 +63,10 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, *, id_col: str = "
 
 
 def _keys(fps: DataFrame, hot: int) -> DataFrame:
-    """fps(fp) as (k, r, bit, fp): 33 keys for each segment; r splits the keys of segments that many fps share.
+    """fps(fp) as (k, fp): k is a segment's number and blanked bit, and the segment with that bit cleared.
 
-    Fingerprints that share such a key differ in at most three of the other segment's bits, so at least one of its
-    four bytes is equal: the key is taken once with each byte.
+    Keys of segments that many fps share are split: such fingerprints differ in at most three of the other segment's
+    bits, so at least one of its four bytes is equal, and the key is taken once with each byte.
     """
     low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
     high = F.shiftrightunsigned("fp", SEGMENT)
@@ -77,36 +79,25 @@ def _keys(fps: DataFrame, hot: int) -> DataFrame:
             )
         ).alias("s"),
     ).select("fp", "s.*")
-    blanks = F.explode(F.sequence(F.lit(0), F.lit(SEGMENT))).alias("blank")
-    # blank 32: the whole segment; key: part, blank, and the segment with that bit cleared
+    # number: BLANKS for each part, the last of them blanks no bit
+    number = F.expr(f"part * {BLANKS} + blank")
     blanked = F.expr(f"if(blank = {SEGMENT}, own, own & ~shiftleft(1L, blank))")
-    key = F.expr(f"shiftleft(part * {SEGMENT + 1} + blank, {SEGMENT})").bitwiseOR(F.col("own"))
-    crowded = (
+    key = F.shiftleft(number, SEGMENT).bitwiseOR(blanked)
+    blank = F.explode(F.sequence(F.lit(0), F.lit(SEGMENT))).alias("blank")
+    crowded = keep(
         halves.groupBy("part", "own")
         .count()
         .where(F.col("count") > hot)
-        .select("part", "own", blanks)
-        .withColumn("own", blanked)
-        .select(key.alias("k"))
-        .distinct()
-        .withColumn("crowded", F.lit(True))
-    )
-    keyed = (
-        halves.select("fp", "part", "own", "other", blanks)
-        .withColumn("own", blanked)
-        .select(
-            "fp",
-            "other",
-            key.alias("k"),
-            F.expr(f"if(blank = {SEGMENT}, -1, cast(blank + part * {SEGMENT} as int))").alias("bit"),
-        )
-        .join(crowded, "k", "left")
+        .select("part", "own", blank)
+        .select(key.alias("k"), F.lit(True).alias("crowded"))
+        .distinct(),
+        "crowded",
     )
-    byte = "(shiftrightunsigned(other, 8 * b) & 255)"
-    refined = f"transform(sequence(0, 3), b -> cast(b * 256 + {byte} as int))"
-    return keyed.select(
-        "k", "fp", "bit", F.explode(F.expr(f"if(crowded, {refined}, array(-1))")).alias("r")
+    keyed = halves.select("fp", "part", "own", "other", blank).select("fp", "other", key.alias("k"))
+    split = F.expr(
+        f"transform(sequence(0, 3), b -> k | shiftleft(1 + b * 256 + (shiftrightunsigned(other, 8 * b) & 255), {KEY_BITS}))"
     )
+    return keyed.join(crowded, "k", "left").select(F.explode(F.when(F.col("crowded"), split).otherwise(F.array("k"))).alias("k"), "fp")
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT_SEGMENT) -> DataFrame:
@@ -115,16 +106,16 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT_SEGMENT) -> D
         raise ValueError("two segments find links of up to three bits")
     keys = _keys(fps, hot)
     a, b = keys.alias("a"), keys.alias("b")
-    apart = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
+    bit = f"cast((shiftrightunsigned(a.k, {SEGMENT}) & 127) % {BLANKS} + if((shiftrightunsigned(a.k, {SEGMENT}) & 127) < {BLANKS}, 0, {SEGMENT}) as int)"
+    whole = f"(shiftrightunsigned(a.k, {SEGMENT}) & 127) % {BLANKS} = {SEGMENT}"
     return (
         a.join(
             b,
             (F.col("a.k") == F.col("b.k"))
-            & (F.col("a.r") == F.col("b.r"))
             & (F.col("a.fp") < F.col("b.fp"))
+            & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits)
             # a blanked key counts only if that bit differs, so that a pair comes up once for each segment
-            & ((F.col("a.bit") < 0) | F.expr("shiftrightunsigned(a.fp ^ b.fp, a.bit) & 1 = 1"))
-            & (F.bit_count(apart) <= max_bits),
+            & F.expr(f"({whole} or (shiftrightunsigned(a.fp ^ b.fp, {bit}) & 1) = 1)"),
         )
         .select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
         .distinct()
