@@ -47,7 +47,7 @@ def distance_m(lat1, lon1, lat2, lon2, radius: float = EARTH_M) -> Column:
     a = F.pow(F.sin((p2 - p1) / 2), F.lit(2.0)) + F.cos(p1) * F.cos(p2) * F.pow(
         F.sin((F.radians(_c(lon2)) - F.radians(_c(lon1))) / 2), F.lit(2.0)
     )
-    return F.lit(2.0 * radius) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return F.lit(2.0 * radius) * F.asin(F.sqrt(F.when(a > 1, F.lit(1.0)).otherwise(a)))  # least() would skip a null
 
 
 def route_mode(code) -> Column:

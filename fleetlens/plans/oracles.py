@@ -11,10 +11,11 @@ from fleetlens.plans.registry import DIGITS, NUDGE, QUERY_GAP_S, QUERY_MOVE_M
 
 
 def _distance(a: str, b: str, c: str, d: str) -> str:
-    return (
-        f"(2.0 * {EARTH_M}::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin((radians({c}) - radians({a})) / 2), 2.0) "
-        f"+ cos(radians({a})) * cos(radians({c})) * pow(sin((radians({d}) - radians({b})) / 2), 2.0)))))"
+    half = (
+        f"(pow(sin((radians({c}) - radians({a})) / 2), 2.0) "
+        f"+ cos(radians({a})) * cos(radians({c})) * pow(sin((radians({d}) - radians({b})) / 2), 2.0))"
     )
+    return f"(2.0 * {EARTH_M}::DOUBLE * asin(sqrt(CASE WHEN {half} > 1 THEN 1.0::DOUBLE ELSE {half} END)))"
 
 
 def _cell(lat: str, lon: str, resolution: int) -> str:
