@@ -25,22 +25,22 @@ FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <=
 THRESHOLD = 0.8
 BLOCK_WORDS = 256
 
-# The phrases of the contract, and common license notices.
+# The phrases of the contract, and common license notices with the words that tell their license.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 TEMPLATES = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("apache-2", "licensed under the apache license version 2.0"),
-    ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc-by", "licensed under a creative commons attribution 4.0 international license"),
-    ("cc-by-nc", "licensed under cc by-nc 4.0"),
-    ("cc-by-sa", "licensed under cc by-sa 4.0"),
-    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("gpl-2", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2"),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2.0"),
-    ("proprietary", "all rights reserved"),
+    ("mit", "mit", "released under the mit license"),
+    ("mit", "granted copy", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("apache-2", "apache 2", "licensed under the apache license version 2.0"),
+    ("apache-2", "compliance", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("cc-by", "commons attribution", "licensed under a creative commons attribution 4.0 international license"),
+    ("cc-by-nc", "by nc", "licensed under cc by-nc 4.0"),
+    ("cc-by-sa", "by sa", "licensed under cc by-sa 4.0"),
+    ("cc0", "waived", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
+    ("gpl-3", "general 3", "this work is licensed under the gnu general public license version 3"),
+    ("gpl-2", "general 2", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2"),
+    ("mpl-2", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2.0"),
+    ("proprietary", "rights reserved", "all rights reserved"),
 )
 
 
@@ -66,27 +66,27 @@ def token_counts(docs: DataFrame, tokens: frozenset[bytes]) -> Counter:
 class Index:
     """Templates by the tokens of their prefixes."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]], counts: Mapping[bytes, int], threshold: float):
+    def __init__(self, templates: Sequence[tuple[str, str, str]], counts: Mapping[bytes, int], threshold: float):
         if not 0 < threshold <= 1:
             raise ValueError("the threshold is a share above 0")
         self.templates = []
         self.prefixes: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for label, text in templates:
+        for label, key, text in templates:
             ordered = sorted(set(fold(text.encode())), key=lambda t: (counts.get(t, 0), t))
             need = max(1, math.ceil(threshold * len(ordered) - 1e-9))
             for place, token in enumerate(ordered[: len(ordered) - need + 1]):
                 self.prefixes[token].append((len(self.templates), place))
-            self.templates.append((label, frozenset(ordered), need))
+            self.templates.append((label, frozenset(fold(key.encode())), frozenset(ordered), need))
 
     def met(self, block: set[bytes]) -> Iterator[tuple[str, float]]:
-        """Every template that the block meets, with its containment."""
+        """The label of every template that the block meets and whose telling words it holds, with the containment."""
         tried = set()
         for token in self.prefixes.keys() & block:
             for number, _ in self.prefixes[token]:
                 tried.add(number)
         for number in tried:
-            label, tokens, need = self.templates[number]
-            if len(block) < need:
+            label, key, tokens, need = self.templates[number]
+            if len(block) < need or not key <= block:
                 continue
             first = min(place for t in block & self.prefixes.keys() for n, place in self.prefixes[t] if n == number)
             if len(tokens) - first < need:
@@ -120,12 +120,14 @@ def places(words: list[bytes], joined: bytes, phrase: bytes) -> list[int]:
 def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) for each row of docs(doc_id, text).
 
+    templates has (label, telling words, text): similar notices differ in a few words, and a block without a template's
+    telling words does not get its label.
     score is the largest containment of a template that any block meets, 1 where a base phrase stands, else 0. A null
     or empty text has no words, labels or places. labels holds the base labels and those of the templates met, each
     once, sorted and joined by commas. An empty table gives an empty result; other columns are not read.
     """
     small_batches(docs.sparkSession)
-    tokens = frozenset(t for _, text in templates for t in fold(text.encode()))
+    tokens = frozenset(t for _, _, text in templates for t in fold(text.encode()))
     index = Index(templates, token_counts(docs, tokens), threshold)
     exact = [(b" ".join(fold(p.encode())), label) for p, label in phrases.items()]
 
