@@ -12,7 +12,7 @@ def folder(spark, tmp_path):
     make = lambda n: " ".join("".join(draw.choice(list("abcdefgh"), 6)) for _ in range(n))
     item, passage = make(40), make(60)
     clean = [make(80) for _ in range(12)]
-    texts = clean + [clean[0], clean[1] + " " + clean[1].split()[0], f"{make(90)} {passage}", f"{passage} {make(90)}", f"{make(30)} {item} {make(30)}", None, "", "12 34"]
+    texts = clean + [clean[0], clean[1].upper(), f"{make(90)} {passage}", f"{passage} {make(90)}", f"{make(30)} {item} {make(30)}", None, "", "12 34"]
     docs = [(k, t, "en", "s1" if k % 2 else None, len(t or "")) for k, t in enumerate(texts)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
