@@ -209,3 +209,25 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("capture_ts"),
         F.when(F.col("o_orderstatus") == "O", "pending").when(F.col("o_orderstatus") == "F", "done").otherwise("failed").alias("status"),
     )
+
+
+SOUTH, WEST = -36.9, 174.7
+
+
+def shape_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A shape for each of 25 nations, due east, 30 metres or so apart."""
+    lat = F.lit(SOUTH) + F.col("n_nationkey") * F.lit(0.0003)
+    point = lambda i: F.struct((F.lit(WEST) + i * F.lit(0.002)).alias("lon"), lat.alias("lat"))
+    return table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("shape_id"), F.transform(F.sequence(F.lit(0), F.lit(25)), point).alias("line")
+    )
+
+
+def road_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A road for each part, due east, on a shape or beside it."""
+    k = F.col("p_partkey")
+    lat = F.lit(SOUTH) + (k % 25) * F.lit(0.0003) + (k % 4) * F.lit(0.00003)
+    west = F.lit(WEST) + F.lit(0.0001) + (k % 40) * F.lit(0.001)
+    east = west + F.lit(0.0001) + (F.col("p_size") % 7) * F.lit(0.0005)
+    ends = F.array(*[F.struct(lon.alias("lon"), lat.alias("lat")) for lon in (west, east)])
+    return table(spark, sf_dir, "part").select(k.cast("string").alias("edge_id"), ends.alias("line"))

@@ -493,3 +493,23 @@ def rolling_deviation(days: DataFrame) -> DataFrame:
         .withColumn("stddev_m", rolling.rolling_stddev("unmonitored_distance_m", keys))
         .withColumn("z", rolling.z_score("unmonitored_distance_m", "mean_m", "stddev_m"))
     )
+
+
+# hours of vehicles --------------------------------------------------------------------------------------------------
+
+
+def agg_vehicle_hour(segments: DataFrame) -> DataFrame:
+    """Metres, seconds and the speed that follows from their sums; segments that go nowhere in time are left out."""
+    moved = segments.where("not flag_nonpositive_gap and distance_m is not null")
+    return moved.groupBy("service_date", "hour_local", "vehicle_id").agg(
+        F.count("*").alias("seg_cnt"), F.sum("distance_m").alias("distance_m"), F.sum("delta_seconds").alias("seconds"),
+        ratio(F.sum("distance_m") * 3.6, F.nullif(F.sum("delta_seconds"), F.lit(0))).alias("speed_kmh"),
+    )
+
+
+def agg_vehicle_day(hours: DataFrame) -> DataFrame:
+    """Days from hours: sums are summed again and the speed follows from them."""
+    return hours.groupBy("service_date", "vehicle_id").agg(
+        F.sum("seg_cnt").alias("seg_cnt"), F.sum("distance_m").alias("distance_m"), F.sum("seconds").alias("seconds"),
+        ratio(F.sum("distance_m") * 3.6, F.nullif(F.sum("seconds"), F.lit(0))).alias("speed_kmh"),
+    )

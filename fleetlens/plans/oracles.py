@@ -6,7 +6,7 @@ import math
 
 from fleetlens.functions.grid import EDGE_0, STEP
 from fleetlens.functions.scalars import EARTH_M, ROUTE_MODES
-from fleetlens.plans.adapters import TYPES
+from fleetlens.plans.adapters import SOUTH, TYPES
 from fleetlens.plans.registry import DIGITS, NUDGE, QUERY_GAP_S, QUERY_MOVE_M
 
 
@@ -408,6 +408,26 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
         "SELECT * FROM grid_hour WHERE (service_date, hour_utc) = (SELECT (service_date, hour_utc) FROM grid_hour ORDER BY service_date DESC, hour_utc DESC LIMIT 1)",
         "avg_speed_kmh",
     ),
+    "agg_vehicle_hour": (
+        """SELECT service_date, hour_local, vehicle_id, count(*)::BIGINT AS seg_cnt, sum(distance_m) AS distance_m, sum(delta_seconds)::BIGINT AS seconds,
+          sum(distance_m) * 3.6::DOUBLE / nullif(sum(delta_seconds), 0) AS speed_kmh
+        FROM v2_segment WHERE NOT flag_nonpositive_gap AND distance_m IS NOT NULL GROUP BY ALL""",
+        "distance_m speed_kmh",
+    ),
+    "agg_vehicle_day": (
+        """SELECT service_date, vehicle_id, count(*)::BIGINT AS seg_cnt, sum(distance_m) AS distance_m, sum(delta_seconds)::BIGINT AS seconds,
+          sum(distance_m) * 3.6::DOUBLE / nullif(sum(delta_seconds), 0) AS speed_kmh
+        FROM v2_segment WHERE NOT flag_nonpositive_gap AND distance_m IS NOT NULL GROUP BY ALL""",
+        "distance_m speed_kmh",
+    ),
+    "shape_road_match": (  # lines due east overlap as far as they are long, if they are near
+        f"""SELECT 'N' || n_nationkey AS shape_id, p_partkey::VARCHAR AS edge_id,
+          round((0.0001::DOUBLE + (p_size % 7) * 0.0005::DOUBLE) * radians(1.0) * {EARTH_M}::DOUBLE
+            * cos(radians({SOUTH}::DOUBLE + (p_partkey % 25) * 0.0003::DOUBLE + (p_partkey % 4) * 0.00003::DOUBLE)), 1) AS overlap_m
+        FROM part JOIN nation ON n_nationkey = p_partkey % 25
+        WHERE (p_partkey % 4) * 0.00003::DOUBLE * radians(1.0) * {EARTH_M}::DOUBLE <= 6 AND p_size % 7 > 0""",
+        "",
+    ),
     "trip_edges": ("SELECT * FROM bridge", "overlap_m"),
     "edge_route_rollup": (
         """SELECT route_id, edge_id, min(road_name) AS road_name, count(DISTINCT trip_id)::BIGINT AS trips_using_edge, sum(overlap_m) AS total_overlap_m

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.operators import conform, upsert
+from fleetlens.functions import geometry
+from fleetlens.operators import conform, spatial, upsert
 from fleetlens.plans import adapters as a
 from fleetlens.plans import models as m
 from fleetlens.plans import serving as s
@@ -63,6 +64,11 @@ class Views:
             feed, self.services, self._of(a.trips), self._of(a.routes), self._of(a.stop_times), self._of(a.stops), "2024-01-02", ZONE
         )
 
+    def shape_roads(self) -> DataFrame:
+        roads = self._of(a.road_lines).withColumn("length_m", geometry.length_m(F.col("line")))
+        found = spatial.match_shapes(self._of(a.shape_lines), roads)
+        return found.select("shape_id", "edge_id", F.round("overlap_m", 1).alias("overlap_m"))
+
     def conformed(self) -> DataFrame:
         """Every event twice, the second time later and without its speed."""
         first = a.table(self.spark, self.sf_dir, "events").select(
@@ -142,6 +148,9 @@ BUILDERS: dict[str, Callable[[Views], DataFrame]] = {
     "unmonitored_latest": lambda v: s.latest_unmonitored(v.detail),
     "top_routes": lambda v: s.top_routes(v.route_hour),
     "latest_slice": lambda v: s.latest_slice(v.grid_hour),
+    "agg_vehicle_hour": lambda v: m.agg_vehicle_hour(v.v2_segment),
+    "agg_vehicle_day": lambda v: m.agg_vehicle_day(m.agg_vehicle_hour(v.v2_segment)),
+    "shape_road_match": Views.shape_roads,
     "trip_edges": lambda v: v.bridge,
     "edge_route_rollup": lambda v: s.route_edges(v.bridge),
     "edge_diagnostics": lambda v: s.edge_diagnostics(v.bridge),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetlens import contracts
 from fleetlens.functions import geometry as g
 from fleetlens.operators import conform, spatial, upsert
-from fleetlens.sources import realtime, static
+from fleetlens.sources import landing, realtime, static
 from fleetlens.streaming import ingest
 
 
@@ -162,3 +162,18 @@ def test_stream_merges_and_can_be_repeated(spark, tmp_path):
     (folder / "c.json").write_text(json.dumps(document("v2", 1704070000)))
     ingest.ingest(spark, "vehicle_positions", contract, str(folder), table, str(tmp_path / "cp")).awaitTermination()
     assert rows(spark.read.parquet(table).select("vehicle_id")) == [("v1",), ("v2",)]
+
+
+def test_landing(spark, tmp_path):
+    df = spark.createDataFrame([("a", dt.datetime(2024, 1, 2, 3)), ("b", dt.datetime(2024, 1, 3, 4))], "id string, created_at timestamp")
+    path = str(tmp_path / "raw")
+    landing.land(df, path)
+    assert list((tmp_path / "raw").glob("year=2024/month=01/day=02/hour=03/*.json.gz"))
+    assert rows(landing.landed(spark, path, "id string", "2024-01-02")) == [("a",)] and landing.landed(spark, path, "id string").count() == 2
+    with pytest.raises(ValueError):
+        landing.landed(spark, path, "id string", "2024-01-02' or true")
+    for _ in range(3):
+        spark.range(10).write.mode("append").parquet(str(tmp_path / "many"))
+    landing.compact(spark, str(tmp_path / "many"), str(tmp_path / "few"))
+    assert spark.read.parquet(str(tmp_path / "few")).count() == 30
+    assert rows(landing.ask(spark, "select id from {t} where id = :x", {"x": "a' or true"}, t=df)) == []
