@@ -29,7 +29,7 @@ def landed(spark: SparkSession, path: str, schema: str, day: str | None = None)
 
 def compact(spark: SparkSession, path: str, out: str, rows_per_file: int = 1_000_000) -> None:
     """Many small parquet files as few large ones."""
-    spark.read.parquet(path).repartition().write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(out)
+    spark.read.parquet(path).hint("rebalance").write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(out)
 
 
 def checked_day(day: str) -> str:
