@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.scratch import keep, small_batches
+from fleetlens.llm.scratch import bounded_sample, keep, small_batches
 from fleetlens.llm.textstats import held_out
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -57,47 +57,72 @@ class Model:
         edged = f" {word} " if n > 1 else word
         return [edged[k : k + n] for k in range(len(edged) - n + 1)]
 
-    def unseen(self, word: str) -> np.ndarray:
-        """The mean over the known n-grams of the longest length that has any; no evidence if none has."""
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """For each word the mean over its known n-grams of the longest length that has any; no evidence if none has."""
+        out, open_ = np.zeros((len(words), len(self.langs))), list(range(len(words)))
         for n in range(self.longest, 0, -1):
-            index, rows = self.grams[n - 1]
-            known = [index[g] for g in self._cut(word, n) if g in index]
-            if known:
-                return rows[known].mean(axis=0)
-        return np.zeros(len(self.langs))
+            (index, rows), at, sizes, done, rest = self.grams[n - 1], [], [], [], []
+            for k in open_:
+                known = [index[g] for g in self._cut(words[k], n) if g in index]
+                (done if known else rest).append(k)
+                if known:
+                    at += known
+                    sizes.append(len(known))
+            if done:
+                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                out[done] = np.add.reduceat(rows[at], starts, axis=0) / np.array(sizes)[:, None]
+            open_ = rest
+        return out
 
 
 class Scorer:
-    """Predicts texts; remembers the rows of unseen words, and forgets them between texts beyond a bound."""
+    """Predicts texts; remembers the words of what stands between white space, and the rows of unseen words, and
+    forgets them between texts beyond a bound."""
 
     def __init__(self, model: Model, remembered: int = REMEMBERED):
         self.model, self.remembered = model, remembered
         self._forget()
 
     def _forget(self) -> None:
-        self.index, self.rows = dict(self.model.words), [*self.model.rows]
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.numbers, self.fresh = dict(self.model.words), []
+        self.table, self.used = np.array(self.model.rows), len(self.model.rows)
 
     def _number(self, word: str) -> int:
-        """Of a word that has none yet; -1 if none of its characters is a letter."""
-        letters = word if word.isalpha() else "".join(c for c in word if c.isalpha())
-        if letters and letters not in self.index:
-            self.index[letters] = len(self.rows)
-            self.rows.append(self.model.unseen(letters))
-        self.index[word] = self.index[letters] if letters else -1
-        return self.index[word]
+        at = self.numbers.get(word)
+        if at is None:
+            at = self.numbers[word] = self.used + len(self.fresh)
+            self.fresh.append(word)
+        return at
+
+    def _fill(self) -> None:
+        """The rows of the words that are new in a text, all at once."""
+        end = self.used + len(self.fresh)
+        if end > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((end, len(self.model.langs)))])
+        self.table[self.used : end] = self.model.unseen(self.fresh)
+        self.used, self.fresh = end, []
+
+    def _words(self, piece: str) -> tuple[int, ...]:
+        """The numbers of the words of a piece; characters that are digits of some kind are no letters."""
+        words = (w if w.isalpha() else "".join(c for c in w if c.isalpha()) for w in WORD.findall(piece))
+        found = self.pieces[piece] = tuple(self._number(w) for w in words if w)
+        return found
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if len(self.index) - len(self.model.words) >= self.remembered:
+        if len(self.pieces) >= self.remembered:
             self._forget()
-        get, numbers = self.index.get, Counter()
-        for word, n in Counter(WORD.findall((text or "").lower())).items():
-            at = get(word)
-            at = self._number(word) if at is None else at
-            if at >= 0:
-                numbers[at] += n
-        if not numbers or not self.model.langs:
+        get, at, counts = self.pieces.get, [], []
+        for piece, n in Counter((text or "").lower().split()).items():
+            words = get(piece)
+            for k in self._words(piece) if words is None else words:
+                at.append(k)
+                counts.append(n)
+        if not at or not self.model.langs:
             return UNKNOWN, 0.0
-        total = np.fromiter(numbers.values(), float) @ np.array([self.rows[k] for k in numbers])
+        if self.fresh:
+            self._fill()
+        total = np.array(counts, float) @ self.table[at]
         best = int(np.argmax(total))
         return self.model.langs[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
@@ -110,10 +135,8 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, words_per_lang: int = W
     """
     spark = docs.sparkSession
     small_batches(spark)
-    usable = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
-    chosen = keep(
-        usable.select(F.col("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs).distinct(), "sample"
-    )
+    usable = docs.where("lang is not null and doc_id is not null").where(~held_out())
+    chosen = keep(bounded_sample(usable.select("doc_id").distinct(), train_docs), "sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
@@ -127,7 +150,8 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, words_per_lang: int = W
             yield _counted(counts)
 
     counted = (
-        usable.join(chosen, "doc_id", "left_semi")
+        usable.where("text is not null")
+        .join(chosen, "doc_id", "left_semi")
         .select(F.col("lang").cast("string").alias("lang"), "text")
         .mapInArrow(run, "lang string, word string, n long")
         .groupBy("lang", "word")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.scratch import small_batches
+from fleetlens.llm.scratch import bounded_sample, keep, small_batches
 
 WINDOW = 5
 #: Added to the words that shares are of, so that a text of a few words has no extreme ones.
@@ -120,7 +120,7 @@ def labelled_sample(stats: DataFrame, labels: DataFrame, rows: int, *, train_onl
     known = stats.select("doc_id", "features").join(clear, "doc_id")
     if train_only:
         known = known.where(~held_out())
-    got = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).toPandas()
+    got = bounded_sample(keep(known, "known"), rows).toPandas()
     if not len(got):
         return np.zeros((0, len(FEATURES))), np.zeros(0, int)
     return np.vstack(got["features"].to_numpy()), got["quality"].to_numpy().astype(int)
