@@ -174,6 +174,31 @@ def test_shared_passages_agree_with_brute_force(spark):
     assert all(got[k] == k for k in range(60) if not any(k in p for p in linked))
 
 
+def words_of(draw, n):
+    return draw.integers(1, 1 << 62, n).astype(np.uint64)
+
+
+def covered(found):
+    return {k for first, last, _, _ in found for k in range(first, last + 1)}
+
+
+def test_a_passage_does_not_hide_another_of_the_same_pair():
+    draw = np.random.default_rng(31)
+    long, short, edited = words_of(draw, 80), words_of(draw, 50), words_of(draw, 60)
+    between, ends = words_of(draw, 40), words_of(draw, 11)
+    # on one shift: a long passage, and one of fifty words with a stray match eleven tokens past its end
+    stray = words_of(draw, 5)
+    a = passages.tokens(np.concatenate([long, between, short, ends[:10], stray, words_of(draw, 30)]))
+    b = passages.tokens(np.concatenate([long, words_of(draw, 40), short, words_of(draw, 10), stray, words_of(draw, 30)]))
+    got = covered(passages.shared_passages(a, b, [0], 46))
+    assert set(range(76)) | set(range(120, 166)) <= got
+    # a word put in: the halves are too short to be aligned
+    put = np.concatenate([edited[:30], words_of(draw, 1), edited[30:]])
+    a = passages.tokens(np.concatenate([long, between, put, words_of(draw, 30)]))
+    b = passages.tokens(np.concatenate([long, words_of(draw, 40), edited, words_of(draw, 30)]))
+    assert set(range(76)) | set(range(120, 177)) <= covered(passages.shared_passages(a, b, [0], 46))
+
+
 # 1 ------------------------------------------------------------------------------------------------------------------
 
 
