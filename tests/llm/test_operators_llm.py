@@ -190,13 +190,30 @@ def test_a_passage_does_not_hide_another_of_the_same_pair():
     stray = words_of(draw, 5)
     a = passages.tokens(np.concatenate([long, between, short, ends[:10], stray, words_of(draw, 30)]))
     b = passages.tokens(np.concatenate([long, words_of(draw, 40), short, words_of(draw, 10), stray, words_of(draw, 30)]))
-    got = covered(passages.shared_passages(a, b, [0], 46))
+    got = covered(passages.shared_passages(a, b, 46))
     assert set(range(76)) | set(range(120, 166)) <= got
     # a word put in: the halves are too short to be aligned
     put = np.concatenate([edited[:30], words_of(draw, 1), edited[30:]])
     a = passages.tokens(np.concatenate([long, between, put, words_of(draw, 30)]))
     b = passages.tokens(np.concatenate([long, words_of(draw, 40), edited, words_of(draw, 30)]))
-    assert set(range(76)) | set(range(120, 177)) <= covered(passages.shared_passages(a, b, [0], 46))
+    assert set(range(76)) | set(range(120, 177)) <= covered(passages.shared_passages(a, b, 46))
+
+
+def test_every_place_of_a_passage_is_found():
+    draw = np.random.default_rng(32)
+    shared, tail = words_of(draw, 60), words_of(draw, 36)
+    # the later places run into words that the other text has elsewhere
+    a = passages.tokens(np.concatenate([shared, words_of(draw, 70), shared, tail, words_of(draw, 70), tail, shared]))
+    b = passages.tokens(np.concatenate([shared, words_of(draw, 70), tail]))
+    assert {*range(56), *range(130, 186), *range(332, 388)} <= covered(passages.shared_passages(a, b, 46))
+
+
+def test_shifts_agree_with_brute_force():
+    draw = np.random.default_rng(33)
+    for n, m, words in ((30, 50, 3), (200, 90, 40), (5, 5, 1), (60, 60, 10**6)):
+        a, b = draw.integers(0, words, n).astype(np.uint64), draw.integers(0, words, m).astype(np.uint64)
+        counts = Counter(i - j for i in range(n) for j in range(m) if a[i] == b[j])
+        assert sorted(passages._shifts(a, b, 3).tolist()) == sorted(s for s, k in counts.items() if k >= 3)
 
 
 # 1 ------------------------------------------------------------------------------------------------------------------
