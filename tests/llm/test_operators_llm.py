@@ -216,6 +216,24 @@ def test_shifts_agree_with_brute_force():
         assert sorted(passages._shifts(a, b, 3).tolist()) == sorted(s for s, k in counts.items() if k >= 3)
 
 
+def test_a_document_behind_others_of_its_signature_is_reached(spark):
+    draw = np.random.default_rng(34)
+
+    def sigs(text):
+        values = passages.tokens(passages.WordHashes().of(text.encode()))
+        return set(passages.signatures(np.append(values, np.uint64(0)), np.array([len(values)]), 46)[0].tolist())
+
+    while True:  # a passage whose signatures two documents have too that hold only 45 of its words
+        passage = prose(draw, 50, 10**6)
+        most = " ".join(passage.split()[:45])
+        texts = [f"{prose(draw, 60, 10**6)} {p} {prose(draw, 60, 10**6)}" for p in (most, passage, most, passage)]
+        of = [sigs(t) for t in texts]
+        if of[1] & of[3] and of[1] & of[3] <= of[0] & of[2]:
+            break
+    got = {r.doc_id: r for r in passages.classes(docs_of(spark, texts)).collect()}
+    assert [got[k].class_id for k in range(4)] == [0, 1, 2, 1] and got[3].n_repeated >= 50
+
+
 # 1 ------------------------------------------------------------------------------------------------------------------
 
 
