@@ -5,7 +5,8 @@ if it holds at least the threshold share of the template's tokens. A template of
 share one of its first n - o + 1 with the block, so only these are indexed (prefix filter); a block of fewer than o
 tokens can't meet it (length filter); a first hit at place i leaves at most n - i common tokens (positional filter).
 What passes is counted exactly. Blocks are lines; longer lines are cut into half-overlapping blocks, so that any run of
-half a block's words lies within one. Base phrases are found as words that stand consecutively, over the whole text.
+half a block's words lies within one. For notices that are wrapped over lines, half-overlapping blocks of twice the
+longest template's words over the whole text are added. Base phrases are found as words that stand consecutively, over the whole text.
 """
 
 from __future__ import annotations
@@ -96,14 +97,23 @@ class Index:
                 yield label, common / len(tokens)
 
 
-def blocks(text: bytes, words: int = BLOCK_WORDS) -> Iterator[list[bytes]]:
-    for line in text.split(b"\n"):
-        held = fold(line)
-        if len(held) <= words:
+def across(templates: Sequence[tuple[str, str, str]]) -> int:
+    """Words of a block over lines: half of them hold the longest template."""
+    return 2 * max((len(fold(text.encode())) for _, _, text in templates), default=1)
+
+
+def blocks(text: bytes, words: int = BLOCK_WORDS, over_lines: int = across(TEMPLATES)) -> Iterator[list[bytes]]:
+    def cut(held: list[bytes], size: int) -> Iterator[list[bytes]]:
+        if len(held) <= size:
             yield held
         else:
-            for at in range(0, len(held) - words // 2, words // 2):
-                yield held[at : at + words]
+            for at in range(0, len(held) - size // 2, size // 2):
+                yield held[at : at + size]
+
+    for line in text.split(b"\n"):
+        yield from cut(fold(line), words)
+    if b"\n" in text:
+        yield from cut(fold(text), over_lines)
 
 
 def places(words: list[bytes], joined: bytes, phrase: bytes) -> list[int]:
@@ -129,6 +139,7 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates=TEMPLA
     small_batches(docs.sparkSession)
     tokens = frozenset(t for _, _, text in templates for t in fold(text.encode()))
     index = Index(templates, token_counts(docs, tokens), threshold)
+    over_lines = across(templates)
     exact = [(b" ".join(fold(p.encode())), label) for p, label in phrases.items()]
 
     def one(text: bytes | None) -> tuple:
@@ -139,7 +150,7 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates=TEMPLA
         starts = [at for at, _ in found]
         labels, score = set(base), 1.0 if base else 0.0
         if not index.prefixes.keys().isdisjoint(words):
-            for block in blocks(text):
+            for block in blocks(text, over_lines=over_lines):
                 for label, share in index.met(set(block)):
                     labels.add(label)
                     score = max(score, share)

@@ -347,6 +347,18 @@ def test_licenses(spark):
     assert licenses.scan(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_notices_wrapped_over_lines(spark):
+    draw = np.random.default_rng(36)
+    texts, want = [], []
+    for label, _, text in licenses.TEMPLATES:
+        words = text.split()
+        lines = "\n# ".join(" ".join(words[k : k + 4]) for k in range(0, len(words), 4))
+        texts.append(f"{prose(draw, int(draw.integers(0, 90)))}\n{lines}\n{prose(draw, 60)}")
+        want.append(label)
+    got = {r.doc_id: r for r in licenses.scan(docs_of(spark, texts)).collect()}
+    assert all(want[k] in got[k].labels.split(",") for k in range(len(texts)))
+
+
 # 5 and 10 -----------------------------------------------------------------------------------------------------------
 
 
