@@ -234,6 +234,22 @@ def test_a_document_behind_others_of_its_signature_is_reached(spark):
     assert [got[k].class_id for k in range(4)] == [0, 1, 2, 1] and got[3].n_repeated >= 50
 
 
+def test_nearly_every_passage_with_a_changed_word_is_a_candidate():
+    draw = np.random.default_rng(35)
+
+    def sigs(words):
+        values = passages.tokens(np.concatenate([words_of(draw, 60), words, words_of(draw, 60)]))
+        return set(passages.signatures(np.append(values, np.uint64(0)), np.array([len(values)]), 46)[0].tolist())
+
+    met = 0
+    for _ in range(500):
+        passage = words_of(draw, 50)
+        edited = passage.copy()
+        edited[draw.integers(5, 45)] ^= np.uint64(1)
+        met += not sigs(passage).isdisjoint(sigs(edited))
+    assert met >= 490
+
+
 # 1 ------------------------------------------------------------------------------------------------------------------
 
 
