@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fleetlens.llm.scratch import drop, keep
 
+#: Parts that each node's edges are dealt into by hash, so that a hub's edges don't meet in one task.
+PARTS = 8
+
 
 def _with_least(edges: DataFrame) -> DataFrame:
-    """edges(u, v) with the least v of each u; the minimum is combined before the shuffle."""
-    return edges.join(edges.groupBy("u").agg(F.min("v").alias("m")), "u")
+    """edges(u, v) with the least v of each u; the minimum is combined before the shuffle, and joined part by part."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", "m", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    dealt = edges.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)).cast("int"))
+    return dealt.join(least, ["u", "part"]).drop("part")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,35 +40,35 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
-    ).first()
-    return row["n"], row["h"]
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a kept table, with their number and a sum of their hashes, taken while they are written."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
+    kept = keep(edges.observe(seen, F.count(F.lit(1)).alias("n"), total), "edges")
+    return kept, (seen.get["n"], seen.get["h"])
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node in edges(u, v): component is the least node reachable.
 
-    Alternating large-star and small-star rounds; each is one minimum and one join on the node, so a hub's edges
-    are never gathered into one row, and the adaptive planner can split them. Every round is written to the shared
+    Alternating large-star and small-star rounds; each is one minimum and one join on the node and a part of its
+    edges, so that a hub's edges are neither gathered into one row nor read by one task. Every round is written to the shared
     folder. Null ends and loops are left out; an empty table gives an empty result. Raises if max_rounds do not
     suffice, rather than return a partial answer.
     """
-    now = keep(
+    now, before = _kept(
         edges.where("u is not null and v is not null and u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct(),
-        "edges",
+        .distinct()
     )
-    before = _state(now)
-    for _ in range(max_rounds):
-        after = keep(_small_star(_large_star(now)), "edges")
+    for _ in range(max_rounds if before[0] else 0):
+        after, state = _kept(_small_star(_large_star(now)))
         drop(now)
-        now, state = after, _state(after)
+        now = after
         if state == before:
             roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
         before = state
+    if not before[0]:
+        return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -12,13 +12,17 @@ BATCH_ROWS = 500
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a temporary one in local mode, as in tests; on a
+    cluster that raises, as executors don't share such a folder."""
     try:
         named = spark.conf.get("spark.checkpoint.dir")
     except Exception:  # the key has no default in this release
         named = None
     named = named or spark.sparkContext.getCheckpointDir()
     if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="fleetlens-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -51,6 +55,25 @@ def drop(df: DataFrame | None) -> None:
         target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
 
 
+class Tables:
+    """Kept tables of one operator: all but its result are deleted at the end, also after a failure."""
+
+    def __init__(self) -> None:
+        self._made: list[DataFrame] = []
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        kept = keep(df, name)
+        self._made.append(kept)
+        return kept
+
+    def __exit__(self, *_) -> None:
+        for df in self._made:
+            drop(df)
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the rows of an Arrow batch, so that long texts don't add up in a Python worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -5,6 +5,9 @@ segment differs in at most one. Each segment is therefore indexed as it is, and
 an equality join on these keys finds every link, and the exact distance verifies it. Equal fingerprints are
 collapsed first, so that a group of copies of any size is one row of the index, and a fingerprint has a bounded
 number of neighbours within three bits.
+
+near_copies() does the same for a similarity of texts: its sketches are longer, are cut into more segments, and blank
+only the bits of a segment that an edit is likely to turn; what meets is compared by sketch and then as texts.
 """
 
 from __future__ import annotations
@@ -14,11 +17,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.graph import connected_components
-from fleetlens.llm.scratch import keep, small_batches
+from fleetlens.llm.groups import crowded, numbered, sampled, untried
+from fleetlens.llm.scratch import Tables, keep, small_batches
+from fleetlens.llm.shingles import WordHashes, mixed, shingle_set, similarity
 
 SEED = 42
 MAX_BITS = 3
@@ -142,18 +147,190 @@ def near_duplicates(
     return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """docs without the rows that a smaller doc_id stands for; of rows that repeat a doc_id one stays.
+# near copies by similarity ------------------------------------------------------------------------------------------
+
+SIMILARITY = 0.8
+SEGMENTS, SEGMENT_BITS = 24, 24
+BITS = SEGMENTS * SEGMENT_BITS
+#: Bits of a segment that are blanked, one at a time: those with the narrowest majorities, which an edit turns first.
+BLANKED = 8
+#: Differing bits up to which candidates are compared as texts: 3.2 standard deviations above the mean at similarity 0.8.
+MOST_DIFFERENT = 115
+#: Candidate pairs that are broadcast at most, about 100 bytes each; more are joined by shuffle.
+BROADCAST_PAIRS = 300_000
+SALT = mixed(np.arange(1, BITS // 64 + 1, dtype=np.uint64))
+
+
+def sketch(values: np.ndarray) -> bytes:
+    """The majority bits of a set of 64-bit values, each spread to BITS bits, and the bits to blank in each segment."""
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(values), 255):  # so many fit a byte
+        wide = mixed(values[at : at + 255, None] ^ SALT)
+        ones += np.unpackbits(wide.view(np.uint8).reshape(len(wide), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    margin = 2 * ones - len(values)
+    narrow = np.argsort(np.abs(margin).reshape(SEGMENTS, SEGMENT_BITS), axis=1, kind="stable")[:, :BLANKED]
+    return np.packbits(margin > 0, bitorder="little").tobytes() + narrow.astype(np.uint8).tobytes()
+
+
+def _prints(texts: DataFrame) -> DataFrame:
+    """(id, h, content, sketch) for each row of texts(id, h, text): a digest of its words, and a sketch unless it has
+    none."""
+    small_batches(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            content, sketches = [], []
+            for t in b.column(2):
+                words = (t.as_py() or b"").lower().split()
+                content.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                own = shingle_set(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
+                sketches.append(sketch(own) if len(own) else None)
+            kinds = [pa.array(content, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *kinds], names=["id", "h", "content", "sketch"])
+
+    return texts.mapInArrow(run, "id long, h string, content binary, sketch binary")
+
+
+def _wide_keys(classes: DataFrame) -> DataFrame:
+    """classes(node, sketch) as (k, node): each segment as it is, and with one of its narrow bits blanked."""
+    number = (np.arange(SEGMENTS, dtype=np.int64) * (SEGMENT_BITS + 1))[None, :, None]
+    powers = 1 << np.arange(SEGMENT_BITS, dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(b.num_rows, -1)
+            bits = np.unpackbits(raw[:, : BITS // 8], axis=1, bitorder="little").reshape(-1, SEGMENTS, SEGMENT_BITS)
+            whole = (bits @ powers)[:, :, None]
+            blank = raw[:, BITS // 8 :].reshape(-1, SEGMENTS, BLANKED).astype(np.int64)
+            exact = (number + SEGMENT_BITS << SEGMENT_BITS) | whole
+            variants = (number + blank << SEGMENT_BITS) | (whole & ~(1 << blank))
+            keys = np.concatenate([exact, variants], axis=2).reshape(b.num_rows, -1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel()), pa.array(np.repeat(b.column(0).to_numpy(), keys.shape[1]))], names=["k", "node"]
+            )
+
+    return classes.select("node", "sketch").mapInArrow(run, "k long, node long")
+
+
+def _close(pairs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+    """pairs(node, other) whose sketches differ in at most so many bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a, r = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(b.num_rows, -1)[:, : BITS // 8] for c in b.columns[2:])
+            near = np.bitwise_count(a ^ r).sum(axis=1, dtype=np.int64) <= most
+            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["node", "other"]).filter(pa.array(near))
+
+    both = pairs.join(classes.select("node", "sketch"), "node").join(
+        classes.select(F.col("node").alias("other"), F.col("sketch").alias("theirs")), "other"
+    )
+    return both.select("node", "other", "sketch", "theirs").mapInArrow(run, "node long, other long")
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """pairs(node, other) whose texts share as many of their five-word shingles."""
+    few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else (lambda df: df)
+    both = few(pairs).join(texts.select(F.col("node").alias("other"), F.col("text").alias("theirs")), "other").join(
+        texts.select("node", "text"), "node"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            same = [
+                similarity(shingle_set(hashes.of(a.as_py())), shingle_set(hashes.of(r.as_py()))) >= least for a, r in zip(*b.columns[2:])
+            ]
+            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["node", "other"]).filter(pa.array(same, pa.bool_()))
+
+    return both.select("node", "other", "text", "theirs").mapInArrow(run, "node long, other long")
+
+
+def near_copies(docs: DataFrame, least: float = SIMILARITY, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, h, n, stays): whether the rows of docs with this id and this md5 of the text stand for their group.
 
-    Rows with a null doc_id stay, as they can't be told apart by id.
+    Texts of the same words, in lower case, are copies. Texts whose sets of five-word shingles have a Jaccard
+    similarity of `least` or more are near copies; groups are what the links found connect. A group's row with the
+    smallest id, then md5, stays; n counts the rows that are equal in both. Rows without an id take no part.
+
+    Candidates are texts with a segment of their sketches in common, up to one bit out of its BLANKED least certain
+    ones, whose sketches differ in at most MOST_DIFFERENT bits. Each text is compared with the smallest of its
+    candidates, then with those of other groups that lead a bucket; texts without a link with all smaller ones of
+    their buckets, some and then more at a time. Texts without a word are copies of each other only.
     """
-    found = near_duplicates(docs, **how)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    by_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = (
-        docs.where("doc_id is not null")
-        .join(kept, "doc_id", "left_semi")
-        .select("*", F.row_number().over(by_id).alias("__nth"))
-        .where("__nth = 1")
+    with Tables() as tables:
+        return keep(_near_copies(docs, least, id_col, text_col, tables.keep), "copies")
+
+
+def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep) -> DataFrame:
+    text = F.col(text_col).cast("binary")
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.md5(text), F.lit("")).alias("h"), text.alias("text")).where(
+        "id is not null"
     )
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    prints = keep(_prints(named), "prints")
+    rows = keep(prints.groupBy("id", "h").agg(F.count("*").alias("n")), "rows")
+    # numbers in the order of the leading rows
+    classes = prints.groupBy("content").agg(F.min(F.struct("id", "h")).alias("lead"), F.min("sketch").alias("sketch")).orderBy("lead")
+    classes = keep(classes.select("lead.*", "sketch", F.monotonically_increasing_id().alias("node")), "classes")
+    known = classes.where("sketch is not null").select("node", "sketch")
+    members = keep(numbered(_wide_keys(known), "k", "node", crowded(_wide_keys(known.where(sampled("node"))), "k", keep), keep=keep), "members")
+    leaders = members.where("node > least").select("node", F.col("least").alias("other")).distinct()
+    near = keep(_close(leaders, known, MOST_DIFFERENT), "near")
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        needed = pairs.select("node").union(pairs.select("other")).distinct()
+        wanted = keep(needed.join(classes, "node").join(rows, ["id", "h"]).select("id", "h", "node", "n"), "wanted")
+        few = F.broadcast if wanted.count() <= BROADCAST_PAIRS else (lambda df: df)
+        found = named.join(few(wanted), ["id", "h"])
+        once = found.where("n = 1").select("node", "text")
+        if not wanted.where("n > 1").isEmpty():
+            once = once.unionByName(found.where("n > 1").select("node", "text").dropDuplicates(["node"]))
+        return keep(once, "texts")
+
+    tried = keep(near.groupBy("node").agg(F.min("other").alias("other")), "pairs")
+    texts = texts_of(near)
+    links = keep(_similar(tried, texts, least), "links")
+    parts = _parts(links)
+    of = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part"))
+    apart = near.join(tried, ["node", "other"], "left_anti").join(of("node"), "node", "left").join(of("other"), "other", "left")
+    more = keep(apart.where("coalesce(node_part, node) <> coalesce(other_part, other)").select("node", "other"), "pairs")
+    if not more.isEmpty():
+        tried, links = tried.unionByName(more), keep(links.unionByName(_similar(more, texts, least)), "links")
+    first, step, open_ = 1, 9, members
+    while True:
+        open_ = keep(open_.where(untried(first)).join(links.select("node").distinct(), "node", "left_anti"), "open")
+        if open_.isEmpty():
+            break
+        others = members.where(F.col("nth").between(first, first + step - 1)).select("k", F.col("node").alias("other"))
+        pairs = open_.join(others, "k").where("other < node and other > least").select("node", "other").distinct()
+        fresh = keep(_close(pairs.join(tried, ["node", "other"], "left_anti"), known, MOST_DIFFERENT), "pairs")
+        if not fresh.isEmpty():
+            tried, links = tried.unionByName(fresh), keep(links.unionByName(_similar(fresh, texts_of(fresh), least)), "links")
+        first, step = first + step, step * 8
+    gone = _parts(links).where("node > component").select("node")
+    stay = classes.join(gone, "node", "left_anti").select("id", "h", F.lit(True).alias("stays"))
+    return rows.join(stay, ["id", "h"], "left").select("id", "h", "n", F.coalesce("stays", F.lit(False)).alias("stays"))
+
+
+def _parts(links: DataFrame) -> DataFrame:
+    return connected_components(links.select(F.col("node").alias("u"), F.col("other").alias("v")))
+
+
+def one_of_each(docs: DataFrame, least: float = SIMILARITY, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of copies and near copies, as near_copies() finds them.
+
+    Rows are judged by id and text, so rows that repeat an id with other words are documents of their own. Of rows
+    that are equal in both, that with the smallest hash of all its columns stays. Rows with a null id all stay, and
+    stand for no others. Blank texts are copies of each other. An empty table gives an empty result.
+    """
+    found = near_copies(docs, least, id_col=id_col, text_col=text_col)
+    h = F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit(""))
+    key = lambda df: df.select(F.col("id").alias("__id"), F.col("h").alias("__h"))
+    same = (F.col(id_col).cast("long") == F.col("__id")) & (h == F.col("__h"))
+    single = docs.join(key(found.where("not stays or n > 1")), same, "left_anti")
+    several = found.where("stays and n > 1")
+    if several.isEmpty():
+        return single
+    rows = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).join(key(several), same)
+    first = rows.groupBy("__id", "__h").agg(F.min_by("__row", F.xxhash64(F.to_json("__row"))).alias("__row"))
+    return single.unionByName(first.select("__row.*"))
