@@ -1,14 +1,17 @@
 """Benchmark decontamination by template windows.
 
 Numbers, names and units are replaced by typed placeholders; windows of five of the resulting tokens are hashed and
-joined with the windows of the benchmark items. Where a document holds at least the threshold share of an item's
-windows, the placeholders' values are compared: along one alignment, each value of the item has to become one value of
-the document. Consistent changes are a re-parameterised question. DataFrame and SQL functions only.
+joined with the windows of the benchmark items. An item that needs o of its n windows has to share one of its n - o + 1
+rarest with a document, as counted over all documents, so only these fetch candidates: a phrase that many items and
+documents share does not. Where a document holds at least the threshold share of an item's windows, the placeholders'
+values are compared by place along one alignment. Numbers and units may change freely; each name of the item has to
+become one name of the document. Items without a window that holds a word beside placeholders, such as those of fewer
+than five words, are looked for as they are written. DataFrame and SQL functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.scratch import keep
@@ -59,12 +62,35 @@ def canonical(table: DataFrame) -> DataFrame:
     return plain.select(*others, _words(F.when(F.col("plain").rlike("[0-9]"), united).otherwise(F.col("plain"))).alias("tokens"))
 
 
-def _windows(table: DataFrame, key: str, width: int) -> DataFrame:
-    """(key, pos, h) of every window of a table (key, tokens)."""
-    hashed = F.expr(
-        f"if(size(tokens) < {width}, array(), transform(sequence(0, size(tokens) - {width}), i -> xxhash64(slice(tokens, i + 1, {width}))))"
+def _hashes(tokens: str, width: int, kind: int) -> Column:
+    """The hash of each window of an array; windows of different kinds have different hashes."""
+    each = f"transform(sequence(0, size({tokens}) - {width}), i -> xxhash64(slice({tokens}, i + 1, {width}), {kind}))"
+    return F.expr(f"if(size({tokens}) < {width}, array(), {each})")
+
+
+def _item_windows(items: DataFrame, width: int) -> tuple[DataFrame, list[int]]:
+    """(item_id, item_pos, h, literal, n_item_windows) of items(item_id, words, tokens), and the widths of literal windows.
+
+    A window counts if it holds a word beside placeholders. An item without any has windows of its words as written.
+    """
+    worded = f"exists(slice(tokens, pos + 1, {width}), x -> x not in ('{NUMBER}', '{NAME}', '{UNIT}'))"
+    template = items.select("item_id", "tokens", F.posexplode(_hashes("tokens", width, 0)).alias("pos", "h")).where(worded)
+    template = template.select("item_id", F.col("pos").alias("item_pos"), "h", F.lit(False).alias("literal"))
+    literal = keep(
+        items.where("size(words) > 0").join(template.select("item_id").distinct(), "item_id", "left_anti")
+        .select("item_id", "words", F.least(F.size("words"), F.lit(width)).alias("w")),
+        "literal",
     )
-    return table.select(key, F.posexplode(hashed).alias("pos", "h"))
+    widths = sorted(r["w"] for r in literal.select("w").distinct().collect())  # as many as a window has words, at most
+    for w in widths:
+        own = literal.where(F.col("w") == w).select("item_id", F.posexplode(_hashes("words", w, w)).alias("item_pos", "h")).withColumn("literal", F.lit(True))
+        template = template.unionByName(own)
+    every = keep(template, "places")
+    return every.join(every.groupBy("item_id").agg(F.countDistinct("h").alias("n_item_windows")), "item_id"), widths
+
+
+def _needed(containment: float, windows: str = "n_item_windows") -> Column:
+    return F.ceil(F.lit(containment) * F.col(windows) - 1e-9)
 
 
 def leaks(
@@ -72,11 +98,12 @@ def leaks(
 ) -> DataFrame:
     """(doc_id, item_id, n_windows, n_item_windows, n_slots, n_changed) of every item that a document holds.
 
-    n_windows counts the item's distinct template windows that the document has along consistent alignments; it is at
-    least `containment` of n_item_windows. n_slots counts the item's distinct placeholder values there, n_changed those
-    that the document has replaced: 0 in a plain copy. Rows of docs that repeat a doc_id count as one document, rows
-    without an id as one too. Null and empty texts have no windows; items of fewer than `width` words are never
-    found. Items with a null id are left out. Empty tables give an empty result; other columns are not read.
+    n_windows counts the item's distinct windows that the document has along consistent alignments; it is at least
+    `containment` of n_item_windows. n_slots counts the item's distinct placeholder values there, n_changed those
+    that the document has replaced somewhere: 0 in a plain copy. Rows of docs that repeat a doc_id count as one
+    document, rows without an id as one too. Null and empty texts have no windows. Items of fewer than `width` words,
+    or of nothing but placeholders in a row, are held where their words stand as written, in lower case. Items with a
+    null id or without a word are left out. Empty tables give an empty result; other columns are not read.
     """
     items = keep(
         canonical(
@@ -84,27 +111,41 @@ def leaks(
         ),
         "items",
     )
-    item_windows = keep(_windows(items, "item_id", width).withColumnRenamed("pos", "item_pos"), "windows")
-    small = item_windows.count() <= broadcast_windows
+    found, widths = _item_windows(items, width)
+    item_windows = keep(found, "windows")
+    known = item_windows.select("h").distinct()
+    small = known.count() <= broadcast_windows
     near = F.broadcast if small else (lambda df: df)
     texts = docs.select("doc_id", "text").where("text is not null")
-    met = keep(
-        _windows(canonical(texts), "doc_id", width).join(near(item_windows), "h"),
-        "met",
+    windows = canonical(texts).select("doc_id", F.posexplode(_hashes("tokens", width, 0)).alias("pos", "h"))
+    for w in widths:
+        words = texts.select("doc_id", raw_tokens(F.col("text")).alias("words"))
+        windows = windows.unionByName(words.select("doc_id", F.posexplode(_hashes("words", w, w)).alias("pos", "h")))
+    hits = keep(windows.join(near(known), "h", "left_semi"), "hits")  # not yet by item: one row for each place
+    counts = hits.groupBy("h").agg(F.count("*").alias("n"))
+    rarest = Window.partitionBy("item_id").orderBy("n", "h")
+    prefix = (
+        item_windows.select("item_id", "h", "n_item_windows").distinct().join(counts, "h", "left").fillna(0, ["n"])
+        .withColumn("nth", F.row_number().over(rarest))
+        .where((F.col("n") > 0) & (F.col("nth") <= F.col("n_item_windows") - _needed(containment) + 1))
+        .select("h", "item_id")
     )
-    totals = item_windows.groupBy("item_id").agg(F.countDistinct("h").alias("n_item_windows"))
-    enough = F.col("n_windows") >= F.ceil(F.lit(containment) * F.col("n_item_windows") - 1e-9)
+    candidates = keep(hits.select("doc_id", "h").distinct().join(keep(prefix, "prefix"), "h").select("doc_id", "item_id").distinct(), "candidates")
 
     def held(rows: DataFrame) -> DataFrame:
-        of = rows.groupBy("doc_id", "item_id").agg(F.countDistinct("h").alias("n_windows"))
-        return of.join(totals, "item_id").where(enough)
+        of = rows.groupBy("doc_id", "item_id", "n_item_windows").agg(F.countDistinct("h").alias("n_windows"))
+        return of.where(F.col("n_windows") >= _needed(containment))
 
     same_pair = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.item_id") == F.col(f"{b}.item_id"))
+    asked = candidates.join(item_windows, "item_id").alias("c")
+    at = F.col("c.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("c.h") == F.col("w.h"))
+    met = keep(asked.join(hits.alias("w"), at).select("c.doc_id", "item_id", "item_pos", "c.h", "literal", "n_item_windows", "pos"), "met")
     likely = keep(held(met).select("doc_id", "item_id"), "likely")
     rows = met.alias("m").join(likely.alias("p"), same_pair("m", "p"), "left_semi")
     slots = keep(_slots(rows, likely, texts, items, width), "slots")
     bad = (
-        slots.groupBy("doc_id", "item_id", "shift", "kind", "ours")
+        slots.where(F.col("kind") == NAME)
+        .groupBy("doc_id", "item_id", "shift", "ours")
         .agg(F.countDistinct("theirs").alias("n"))
         .where("n > 1")
         .select("doc_id", "item_id", "shift")
@@ -132,7 +173,7 @@ def _slots(rows: DataFrame, likely: DataFrame, texts: DataFrame, items: DataFram
         F.col("kind").rlike(f"[{NUMBER}{NAME}{UNIT}]")
     ).select("item_id", "item_pos", "kind", F.expr("words[item_pos]").alias("ours"))
     ids = likely.select("doc_id").distinct()
-    places = rows.select(
+    places = rows.where(~F.col("literal")).select(
         "doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos"
     ).withColumn("item_pos", F.explode(F.sequence(F.col("item_pos"), F.col("item_pos") + width - 1))).distinct()
     asked = places.join(with_slots, ["item_id", "item_pos"]).withColumn("pos", F.col("shift") + F.col("item_pos"))

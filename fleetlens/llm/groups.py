@@ -28,8 +28,8 @@ def crowded(sample: DataFrame, key: str, keep=keep, least: int = CROWDED) -> Dat
 def numbered(rows: DataFrame, key: str, member: str, hot: DataFrame, *order: str, keep=keep) -> DataFrame:
     """rows of groups with several members, with nth, least and last.
 
-    least is the group's smallest member, nth numbers rows by member from 1, last is the group's largest nth. A crowded
-    group is dealt into SALTS parts by hash, each numbered by itself; its nth are then the places within a part. Else
+    least is the group's smallest member, nth numbers rows by member from 1. A crowded group is dealt into SALTS parts
+    by hash, each numbered by itself; its nth then takes one row of each part in turn, and last is the largest. Else
     last is null, as a row's own nth bounds those of the smaller members.
     """
     n_hot = hot.count()
@@ -51,9 +51,10 @@ def numbered(rows: DataFrame, key: str, member: str, hot: DataFrame, *order: str
         return ranked.drop("__salt").withColumn("last", F.lit(None).cast("int"))
     ranked = keep(ranked, "ranked")
     facts = ranked.where("__salt is not null").groupBy(F.col(key).alias("__key")).agg(
-        F.min("least").alias("__least"), F.max("nth").alias("__last")
+        F.min("least").alias("__least"), F.max(F.expr(f"(nth - 1) * {SALTS} + __salt + 1")).alias("__last")
     )
-    of = ranked.where("__salt is not null").join(small(facts), F.col(key) == F.col("__key"))
+    of = ranked.where("__salt is not null").withColumn("nth", F.expr(f"(nth - 1) * {SALTS} + __salt + 1"))
+    of = of.join(small(facts), F.col(key) == F.col("__key"))
     plain = ranked.where("__salt is null").select(*rows.columns, "nth", "least", F.lit(None).cast("int").alias("last"))
     return plain.unionByName(of.select(*rows.columns, "nth", F.col("__least").alias("least"), F.col("__last").alias("last")))
 

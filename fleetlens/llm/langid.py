@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.scratch import bounded_sample, keep, small_batches
@@ -131,7 +131,8 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, words_per_lang: int = W
     """A model of the text and lang of at most train_docs documents, those with the smallest hashes of their ids.
 
     Held-out documents and those without a text or lang are not learned from. Words are counted over the sample's
-    whole texts; each language keeps its words_per_lang most frequent words that occur at least `least` times.
+    whole texts; each language keeps the words that occur at least `least` times, down to the count at which there
+    would be more than words_per_lang of them; words of one count are kept or left together.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -149,23 +150,41 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, words_per_lang: int = W
         if counts:
             yield _counted(counts)
 
-    counted = (
+    counted = keep(
         usable.where("text is not null")
         .join(chosen, "doc_id", "left_semi")
         .select(F.col("lang").cast("string").alias("lang"), "text")
         .mapInArrow(run, "lang string, word string, n long")
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= least)
+        .where(F.col("n") >= least),
+        "words",
     )
-    by_lang = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    most = counted.withColumn("nth", F.row_number().over(by_lang)).where(F.col("nth") <= words_per_lang)
+    # how many words each count has; as many rows as there are different counts
+    by_count: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    for lang, n, words in counted.groupBy("lang", "n").agg(F.count("*").alias("words")).collect():
+        by_count[lang].append((n, words))
+    cuts = [(lang, _cut(have, words_per_lang)) for lang, have in by_count.items()]
+    most = counted
+    if cuts:
+        most = counted.join(F.broadcast(spark.createDataFrame(cuts, "lang string, cut long")), "lang").where("n >= cut")
     counts: dict[str, dict[str, int]] = defaultdict(dict)
     for lang, word, n in most.select("lang", "word", "n").collect():
         counts[lang][word] = n
     return Model(counts)
 
 
+def _cut(by_count: list[tuple[int, int]], most: int) -> int:
+    """The smallest count such that at most so many words have it or a higher one."""
+    cut, held = 1 << 62, 0
+    for n, words in sorted(by_count, reverse=True):
+        held += words
+        if held > most:
+            break
+        cut = n
+    return cut
+
+
 def _counted(counts: dict[str, Counter]) -> pa.RecordBatch:
     rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
     kinds = (pa.string(), pa.string(), pa.int64())

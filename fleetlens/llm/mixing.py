@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlens.llm.scratch import keep
+
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 RANGE_ROWS = 5_000
@@ -65,18 +67,21 @@ def mix(
 
     size counts words (null text: 0), target is the source's, taken is how many of the row's words the mix takes,
     repeats counted: whole epochs, and of the last epoch the rows before the cut, with the row at the cut taken in
-    part, so that a source's taken words add up to its target rounded to whole words. The key is a hash of seed and
-    doc_id, so reruns agree; rows with the same doc_id (or null) are ordered by size. A null source is a source. A
+    part, so that a source's taken words add up to its target rounded to whole words. The key is a hash of seed,
+    doc_id and text, so reruns agree, and rows without an id or with one id are spread as well. Rows that are equal in
+    these stand together. A null source is a source. A
     source without words has target 0. An empty table gives an empty result; other columns are not read.
     """
     top = 1 << KEY_BITS
-    named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    own = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), own)
     sizes = docs.select(
         "doc_id",
         "source",
         word_count(F.col("text")).alias("size"),
         F.conv(F.substring(F.md5(named), 1, KEY_BITS // 4), 16, 10).cast("long").alias("key"),
     )
+    sizes = keep(sizes, "sizes")  # words are counted once
     targets = source_targets(sizes, weights, most_epochs)
     rows = sizes.alias("s").join(targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
         "s.*", "t.source_size", "t.target",

@@ -19,13 +19,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same templates with patterns that look nowhere back: sentence starts are marked first. Slots are compared along
 # alignments, as in the operator; windows are compared as texts.
 OP1_SQL = r"""
-WITH t AS (
+WITH given AS (
   SELECT true AS is_doc, doc_id AS id, text FROM documents WHERE text IS NOT NULL
   UNION ALL SELECT false, item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
 ), a AS (
   SELECT is_doc, id, CASE WHEN regexp_matches(text, '[0-9]') THEN
     regexp_replace(regexp_replace(text, '([0-9])[.,]([0-9])', '\1\2', 'g'), '([0-9])([A-Za-z%])', '\1 \2', 'g') ELSE text END AS apart
-  FROM t
+  FROM given
 ), p AS (
   SELECT is_doc, id, apart, regexp_replace(regexp_replace(lower(replace(regexp_replace(
       regexp_replace(apart, '(^|[.!?:\n"'' ]) ([A-Z])', '\1 ¬\2', 'g'),
@@ -38,18 +38,29 @@ WITH t AS (
     list_filter(regexp_split_to_array(lower(apart), 'SEPARATORS'), lambda x: x <> '') AS words
   FROM p
 ), v AS (
-  SELECT is_doc, id, i AS pos, tokens[i:i + 4] AS win, words[i:i + 4] AS own
+  SELECT is_doc, id, i AS pos, false AS literal, tokens[i:i + 4] AS win, words[i:i + 4] AS own
   FROM w, unnest(range(1, len(tokens) - 3)) AS u(i) WHERE len(tokens) >= 5
+), t AS (
+  SELECT * FROM v WHERE NOT is_doc AND len(list_filter(win, lambda x: x NOT IN ('⓪', 'ⓝ', 'ⓤ'))) > 0
+), l AS (
+  SELECT id, words, least(len(words), 5) AS n FROM w WHERE NOT is_doc AND len(words) > 0 AND id NOT IN (SELECT id FROM t)
+), items AS (
+  SELECT id, pos, literal, win, own FROM t
+  UNION ALL SELECT id, i, true, words[i:i + n - 1], words[i:i + n - 1] FROM l, unnest(range(1, len(words) - n + 2)) AS u(i)
+), docs AS (
+  SELECT id, pos, literal, win, own FROM v WHERE is_doc
+  UNION ALL SELECT id, i, true, words[i:i + n - 1], words[i:i + n - 1]
+  FROM w, (SELECT DISTINCT n FROM l) AS k, unnest(range(1, len(words) - n + 2)) AS u(i) WHERE is_doc AND len(words) >= n
 ), m AS (
-  SELECT d.id AS doc_id, b.id AS item_id, d.pos - b.pos AS shift, b.win, d.own AS theirs, b.own AS ours
-  FROM v d JOIN v b ON d.win = b.win AND d.is_doc AND NOT b.is_doc
+  SELECT d.id AS doc_id, b.id AS item_id, d.pos - b.pos AS shift, b.literal, b.win, d.own AS theirs, b.own AS ours
+  FROM docs d JOIN items b ON d.win = b.win AND d.literal = b.literal
 ), n AS (
-  SELECT id AS item_id, count(DISTINCT win) AS n_item_windows FROM v WHERE NOT is_doc GROUP BY id
+  SELECT id AS item_id, count(DISTINCT win) AS n_item_windows FROM items GROUP BY id
 ), s AS (
   SELECT DISTINCT doc_id, item_id, shift, win[k] AS kind, ours[k] AS ours, theirs[k] AS theirs
-  FROM m, unnest(range(1, 6)) AS u(k) WHERE regexp_matches(win[k], '[⓪ⓝⓤ]')
+  FROM m, unnest(range(1, 6)) AS u(k) WHERE NOT literal AND regexp_matches(win[k], '[⓪ⓝⓤ]')
 ), bad AS (
-  SELECT DISTINCT doc_id, item_id, shift FROM s GROUP BY doc_id, item_id, shift, kind, ours HAVING count(DISTINCT theirs) > 1
+  SELECT DISTINCT doc_id, item_id, shift FROM s WHERE kind = 'ⓝ' GROUP BY doc_id, item_id, shift, ours HAVING count(DISTINCT theirs) > 1
 ), h AS (
   SELECT m.doc_id, m.item_id, count(DISTINCT m.win) AS n_windows FROM m
   LEFT JOIN bad ON m.doc_id IS NOT DISTINCT FROM bad.doc_id AND m.item_id = bad.item_id AND m.shift = bad.shift
@@ -94,7 +105,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS k
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')), 1, 13))::BIGINT AS k
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -159,9 +170,15 @@ URL_RULES = (
     urlfilter.Rule("||org/es/", "block"),
 )
 URL_PATTERNS = tuple(
-    urlfilter.Rule(f"^{word}^", "block")
-    for word in ("ads", "adult", "bets", "casino", "malware", "phishing", "pills", "poker", "porn", "spam", "viagra", "xxx")
-)
+    urlfilter.Rule(pattern, "block")
+    for pattern in (
+        "^ads^", "^adserver^", "^adult^", "^affiliate^*^click^", "^analytics^*^collect^", "^banner^", "^banners^*.gif", "^beacon^",
+        "^bets^", "^betting^", "^bitcoin^*^doubler^", "^bonus^*^casino^", "^casino^", "^cheap^*^pills^", "^clickbait^", "^crack^*^keygen^",
+        "^doubleclick^", "^escort^", "^free^*^viagra^", "^gambling^", "^jackpot^", "^keygen^", "^malware^", "^nsfw^", "^payday^*^loan^",
+        "^phishing^", "^pills^", "^pixel^*^track^", "^poker^", "^popunder^", "^porn^", "^redirect^*^http^", "^slots^*^casino^", "^spam^",
+        "^sponsored^", "^torrent^*^download^", "^track^*^pixel^", "^viagra^", "^warez^", "^wp-login^", "^xxx^",
+    )
+)
 
 
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,14 +201,19 @@ WITH u AS (
   FROM v LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
 )
 SELECT page_id, host, path, rule,
-  coalesce(action, CASE WHEN regexp_matches(lower(host || path),
-    '(^|[^0-9a-z])(ads|adult|bets|casino|malware|phishing|pills|poker|porn|spam|viagra|xxx)([^0-9a-z]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(action, CASE WHEN PATTERNS THEN 'block' ELSE 'allow' END) AS verdict
 FROM f WHERE nth = 1
-"""
+""".replace(
+    "PATTERNS",
+    " OR ".join(
+        "regexp_matches(lower(host || path), '(?s)" + r.pattern.replace(".", "[.]").replace("*", ".*").replace("^", "(^|[^0-9a-z]|$)") + "')"
+        for r in URL_PATTERNS
+    ),
+)
 
 
 def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = forest.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    found = forest.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), forest.SAMPLE_ROWS)
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
     )

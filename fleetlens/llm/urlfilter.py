@@ -72,9 +72,10 @@ def split_url(url):
 
 
 def token_counts(urls: DataFrame, tokens: DataFrame) -> DataFrame:
-    """In how many rows of urls(host, path) each of tokens(token) occurs; counted over all of them."""
+    """In how many rows of urls(host, path) each of tokens(token) occurs; counted over all of them. The tokens are those
+    of the rules, which the driver holds anyway, so they are broadcast."""
     held = F.array_distinct(F.split(F.lower(F.concat_ws("/", "host", "path")), "[^0-9a-z]+"))
-    return urls.select(F.explode(held).alias("token")).join(tokens, "token", "left_semi").groupBy("token").count()
+    return urls.select(F.explode(held).alias("token")).join(F.broadcast(tokens), "token", "left_semi").groupBy("token").count()
 
 
 def filed(rules: Sequence[Rule], counts: dict[str, int]) -> dict[str, list[Rule]]:

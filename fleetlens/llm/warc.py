@@ -3,7 +3,8 @@
 An archive is a .warc.zst stream: a leading skippable frame (magic 0x184D2A5D) that holds the dictionary, then one
 Zstandard frame for each record. The archives are written by Spark's own text writer, so that they land in any store
 that Spark reaches and only committed tasks leave files; its line separator is an empty skippable frame (whose eight
-bytes are all ASCII), which every Zstandard reader passes over.
+bytes are all ASCII), which every Zstandard reader passes over. A task starts a new archive where one would grow beyond
+ARCHIVE_BYTES, so that writers and readers hold no more than that, or one record.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from fleetlens.llm.scratch import drop, keep, new_path, small_batches
 DICTIONARY_MAGIC = b"\x5d\x2a\x4d\x18"
 EMPTY_FRAME = "P*M\x18\x00\x00\x00\x00"
 DICTIONARY_BYTES = 64 << 10
+ARCHIVE_BYTES = 32 << 20
 SAMPLE_RECORDS = 512
 SAMPLE_BYTES = 8 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -35,12 +37,13 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _urn(page_id: int | None) -> str:
-    return f"<urn:x-page:{'' if page_id is None else page_id}>"
+def _urn(page_id: int | None, digest: str) -> str:
+    """Pages that repeat an id with another payload have records of their own."""
+    return f"<urn:x-page:{'' if page_id is None else page_id}:{digest}>"
 
 
 def _page(urn: str) -> int | None:
-    number = urn.removeprefix("<urn:x-page:").removesuffix(">")
+    number = urn.removeprefix("<urn:x-page:").partition(":")[0]
     return int(number) if number else None
 
 
@@ -51,7 +54,7 @@ def record(page_id, url, payload: bytes, digest: str, revisit: bool, refers_to,
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: {_urn(page_id)}",
+        f"WARC-Record-ID: {_urn(page_id, digest)}",
         f"WARC-Date: {date}",
         "Content-Type: application/http; msgtype=response",
         f"WARC-Payload-Digest: sha1:{digest}",
@@ -59,7 +62,7 @@ def record(page_id, url, payload: bytes, digest: str, revisit: bool, refers_to,
     if url is not None:
         lines.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
     if revisit:
-        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_urn(refers_to)}"]
+        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_urn(refers_to, digest)}"]
     lines.append(f"Content-Length: {len(block)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -131,19 +134,19 @@ def _sample(prepared: DataFrame, records: int, most_bytes: int) -> list[bytes]:
 
 
 def write_archives(
-    pages: DataFrame, path: str, *, min_revisit_bytes: int = 0, level: int = 3,
+    pages: DataFrame, path: str, *, min_revisit_bytes: int = 0, level: int = 3, archive_bytes: int = ARCHIVE_BYTES,
     sample_records: int = SAMPLE_RECORDS, sample_bytes: int = SAMPLE_BYTES,
 ) -> None:
-    """Write pages(page_id, url, html) to archives under path, one for each partition.
+    """Write pages(page_id, url, html) to archives *.warc.zst under path, each of at most archive_bytes or one record.
 
     The payload is the html in UTF-8 (null: empty). Of pages with equal payloads of at least min_revisit_bytes, that
     with the smallest page_id is a response (rows that repeat this id too) and the others revisit it; smaller
     payloads are all responses. A null page_id is written as such, and is a response only where no equal payload has
-    an id. The dictionary is trained on at most sample_records records and sample_bytes bytes. Other columns are not
-    read; an empty table writes archives without records.
+    an id. The dictionary is trained on at most sample_records records and sample_bytes bytes. Rows that repeat page_id
+    and payload repeat the record's id. Other columns are not read; an empty table writes no archive.
     """
     spark = pages.sparkSession
-    small_batches(spark)
+    small_batches(spark, 50)
     rows = _prepared(pages)
     dictionary = train(_sample(rows, sample_records, sample_bytes))
     keyed = rows.withColumn("sha1", F.sha1("payload")).withColumn("bytes", F.length("payload"))
@@ -165,21 +168,50 @@ def write_archives(
         if zdict:
             zdict.precompute_compress(level=level)
         packer = zstandard.ZstdCompressor(level=level, dict_data=zdict, write_checksum=True)
+        leading = b""
         if dictionary:
             packed = zstandard.ZstdCompressor(level=9).compress(dictionary)
-            yield pa.record_batch([pa.array([DICTIONARY_MAGIC + struct.pack("<I", len(packed)) + packed])], names=["frame"])
-        for b in batches:
-            frames = []
-            for page_id, url, payload, least, revisit in zip(*(c.to_pylist() for c in b.columns)):
-                frames.append(packer.compress(record(page_id, url, payload, payload_digest(payload), revisit, least)))
-            yield pa.record_batch([pa.array(frames, pa.binary())], names=["frame"])
+            leading = DICTIONARY_MAGIC + struct.pack("<I", len(packed)) + packed
+        archive = io.BytesIO()
+        archive.write(leading)
+
+        def cut() -> pa.RecordBatch:
+            out = pa.record_batch([pa.array([archive.getvalue()], pa.binary())], names=["archive"])
+            archive.seek(len(leading))
+            archive.truncate()
+            return out
 
+        for b in batches:
+            for page_id, url, payload, least, revisit in zip(*b.columns):
+                page_id, least, payload = page_id.as_py(), least.as_py(), payload.as_py()
+                frame = packer.compress(record(page_id, url.as_py(), payload, payload_digest(payload), revisit.as_py(), least))
+                if len(leading) < archive.tell() and archive.tell() + len(frame) > archive_bytes:
+                    yield cut()
+                archive.write(frame)
+        if len(leading) < archive.tell():
+            yield cut()
+
+    # one row is one archive, and one file
     (
-        joined.mapInArrow(run, "frame binary")
-        .select(F.col("frame").cast("string").alias("value"))
-        .write.option("lineSep", EMPTY_FRAME).option("compression", "none").text(path)
+        joined.mapInArrow(run, "archive binary")
+        .select(F.col("archive").cast("string").alias("value"))
+        .write.option("lineSep", EMPTY_FRAME).option("compression", "none").option("maxRecordsPerFile", 1).text(path)
     )
     drop(shared)
+    _name_archives(spark, path)
+
+
+def _name_archives(spark: SparkSession, path: str) -> None:
+    """Rename the writer's files, and delete those of partitions without records."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    for f in fs.listStatus(folder):
+        name = f.getPath().getName()
+        if name.startswith("part-") and f.getLen() == 0:
+            fs.delete(f.getPath(), False)
+        elif name.startswith("part-"):
+            fs.rename(f.getPath(), sc._jvm.org.apache.hadoop.fs.Path(folder, name.removesuffix(".txt") + ".warc.zst"))
 
 
 def read_archives(spark: SparkSession, path: str, *, payloads: bool = True) -> DataFrame:
@@ -199,7 +231,7 @@ def read_archives(spark: SparkSession, path: str, *, payloads: bool = True) -> D
                 if some:
                     yield _batch(some)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(path)
     return files.select("content").mapInArrow(run, RECORDS)
 
 

@@ -100,6 +100,58 @@ def test_simhash(spark):
     assert stays.columns == docs_of(spark, texts).columns and stays.where("doc_id is null").count() == 1
 
 
+def test_one_of_each_judges_rows_by_id_and_text(spark):
+    draw = np.random.default_rng(11)
+    own = [prose(draw, 120, 10**6) for _ in range(6)]
+    near = own[0].split()
+    near[60] = "changed"
+    far = own[0].split()
+    far[10], far[50], far[90] = "one", "two", "three"  # 15 of 116 shingles: similarity 0.77
+    texts = [own[0], own[1], own[2], own[3], own[3].upper(), " ".join(near), " ".join(far), own[4], own[4], own[5], "", None, " ", "a b", "a b"]
+    ids = [1, 1, 2, 3, 3, 4, 5, 6, 6, None, 7, 8, 9, 10, 11]
+    docs = docs_of(spark, texts, ids=ids).repartition(3)
+    kept = simhash.one_of_each(docs)
+    want = [(1, own[0]), (1, own[1]), (2, own[2]), (3, min(own[3], own[3].upper(), key=lambda t: hashlib.md5(t.encode()).hexdigest())), (5, texts[6]), (6, own[4]), (None, own[5]), (7, ""), (10, "a b")]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(repr, want)) and kept.columns == docs.columns
+    assert simhash.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_near_copies_against_brute_force(spark):
+    """Of the pairs at similarity 0.8 or more, at least 95 % are in one group; pairs below are linked by none."""
+    draw = np.random.default_rng(12)
+    texts = []
+    for _ in range(40):
+        words = prose(draw, int(draw.integers(60, 300)), 10**6).split()
+        texts.append(" ".join(words))
+        for _ in range(3):
+            edited = list(words)
+            for at in draw.choice(len(words), max(1, len(words) * int(draw.integers(1, 4)) // 100), replace=False):
+                edited[at] = f"x{draw.integers(10**6)}"
+            texts.append(" ".join(edited))
+    stays = {r.id for r in simhash.near_copies(docs_of(spark, texts)).where("stays").collect()}
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    close = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    left = [(a, b) for a, b in close if a in stays and b in stays]
+    assert len(close) > 100 and len(left) <= 0.05 * len(close)
+    lone = set(range(len(texts))) - {x for p in close for x in p}
+    assert lone <= stays
+
+
+def test_crowded_groups_are_numbered_in_parts(spark):
+    from fleetlens.llm import groups
+
+    rows = spark.createDataFrame([("a", k) for k in range(500)] + [("b", 7), ("b", 9), ("c", 1)], "k string, m long")
+    hot = groups.crowded(rows, "k")
+    assert [r.k for r in hot.collect()] == ["a"]
+    got = groups.numbered(rows, "k", "m", hot).collect()
+    assert Counter(r.k for r in got) == {"a": 500, "b": 2} and all(r.least == (0 if r.k == "a" else 7) for r in got)
+    assert {(r.m, r.nth) for r in got if r.k == "b"} == {(7, 1), (9, 2)}
+    of = [r for r in got if r.k == "a"]
+    assert len({r.nth for r in of}) == 500 and {r.last for r in of} == {max(r.nth for r in of)}
+    plain = groups.numbered(rows, "k", "m", hot.limit(0)).where("k = 'a'").collect()
+    assert all(r.nth == r.m + 1 and r.last is None for r in plain)
+
+
 @pytest.mark.parametrize("hot", [2000, 1])
 def test_links_are_complete(spark, hot):
     draw = np.random.default_rng(0)
@@ -153,6 +205,8 @@ def test_passages(spark):
     classed = {k: r.class_id for k, r in got.items() if r.class_id != k}
     assert classed == {12: 11, 13: 11, 15: 14, 18: 17}
     assert got[12].n_repeated == 52 and got[13].n_spans == 1 and got[15].n_repeated >= 50 and got[18].n_repeated == 150 and got[11].n_repeated == 0
+    clash = docs_of(spark, texts).withColumn("ranges", F.lit(1))
+    assert passages.without_repeats(clash).columns == clash.columns
     kept = {r.doc_id: r for r in passages.without_repeats(docs_of(spark, texts, ids=[None if k == 3 else k for k in ids])).collect()}
     assert kept[12].text == own[3] and kept[11].text == texts[11] and 18 not in kept and kept[13].text == own[4] + " " and kept[1].text == ""
     assert kept[12].n_chars == len(own[3]) and kept[11].n_chars is None and kept[None].text == "one"
@@ -269,6 +323,78 @@ def test_decontamination(spark):
     assert decontam.leaks(docs_of(spark, texts).limit(0), bench).count() == 0 and decontam.leaks(docs_of(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_slots_that_share_a_value_change_apart(spark):
+    item = "Tim has 5 apples in a bag and buys 5 pears at the shop so how many pieces does he own?"
+    texts = [item.replace("5 apples", "6 apples").replace("5 pears", "9 pears"), item.replace("5", "6"), item.replace("bag", "box").replace("shop", "inn")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r.doc_id: r.n_changed for r in decontam.leaks(docs_of(spark, texts), bench).collect()}
+    assert found == {0: 1, 1: 1}
+
+
+def test_short_items_and_runs_of_numbers(spark):
+    numbers = " ".join(map(str, range(100, 140)))
+    items = ["Tallest fjord mouse?", "12 7 9", numbers, "One two three four plain words here."]
+    texts = ["See the tallest fjord mouse here", "tallest fjord mice", "12 7 9 10", "12 7 8", " ".join(map(str, range(500, 900))), f"a {numbers} b", "x one two three four plain words here"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.n_windows == r.n_item_windows) for r in decontam.leaks(docs_of(spark, texts), bench).collect()}
+    assert found == {(0, 0, True), (2, 1, True), (5, 2, True), (6, 3, True)}
+
+
+def test_a_phrase_that_all_share_fetches_no_candidates(spark, monkeypatch):
+    draw = np.random.default_rng(38)
+    phrase = "what is the sum of all the parts that"
+    letters = lambda n: " ".join("".join(draw.choice(list("abcdefgh"), 7)) for _ in range(n))
+    bench = spark.createDataFrame([(k, f"{phrase} {letters(24)}") for k in range(300)], "item_id long, text string")
+    made = {}
+    monkeypatch.setattr(decontam, "keep", lambda df, name, keep=decontam.keep: made.setdefault(name, keep(df, name)))
+    leak = bench.where("item_id = 7").first().text
+    docs = docs_of(spark, [f"{letters(20)} {phrase} {letters(20)}" for _ in range(100)] + [leak])
+    assert [(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()] == [(100, 7)]
+    assert made["candidates"].count() == 1 and made["met"].count() <= 30
+
+
+def plain_leaks(texts, items):
+    """By the definition: every pair, without hashes, prefixes or joins."""
+    units = decontam.UNITS.split("|")
+
+    def parsed(text):
+        text = re.sub(r"([0-9])([A-Za-z%])", r"\1 \2", re.sub(r"([0-9])[.,]([0-9])", r"\1\2", text))
+        marked = re.sub(r"""[A-Z](?<=[^.!?:\n"' ] .)[^\x00-\x60\x7B-\x7F]+""", "ⓝ", text).lower()
+        split = lambda t: [w for w in re.split(decontam.SEPARATORS, t) if w]
+        kinds = split(re.sub("[0-9]+", "⓪", marked))
+        kinds = ["ⓤ" if k and kinds[k - 1] == "⓪" and w in units else w for k, w in enumerate(kinds)]
+        return split(text.lower()), kinds
+
+    out = set()
+    for d, t in enumerate(texts):
+        words, kinds = parsed(t)
+        for i, own in enumerate(map(parsed, items)):
+            wins = {k: tuple(own[1][k : k + 5]) for k in range(len(own[1]) - 4) if set(own[1][k : k + 5]) - {"⓪", "ⓝ", "ⓤ"}}
+            good = set()
+            for shift in range(-len(own[1]), len(kinds)):
+                at = [k for k, w in wins.items() if k + shift >= 0 and tuple(kinds[k + shift : k + shift + 5]) == w]
+                names = {(own[0][p], words[p + shift]) for k in at for p in range(k, k + 5) if own[1][p] == "ⓝ"}
+                if len(names) == len({a for a, _ in names}):
+                    good |= {wins[k] for k in at}
+            if wins and len(good) >= 0.8 * len(set(wins.values())) - 1e-9:
+                out.add((d, i, len(good)))
+    return out
+
+
+def test_leaks_agree_with_brute_force(spark):
+    draw = np.random.default_rng(39)
+    say = lambda: " ".join(str(draw.choice(["Anna", "Bob", "7", "12 km", "3.5", "walks", "so", "then", "far", "and", "how", "is", "it."])) for _ in range(14))
+    items = [say() for _ in range(25)]
+    swap = {"Anna": "Carl", "7": "8", "12 km": "40 miles", "3.5": "1,000"}
+    texts = []
+    for k, item in enumerate(items):
+        for a, b in list(swap.items())[: k % 5]:
+            item = item.replace(a, b)
+        texts.append(f"{say()} {item} {say()}" if k % 3 else f"{item.replace('walks', 'runs', 1)} {say()}")
+    got = {(r.doc_id, r.item_id, r.n_windows) for r in decontam.leaks(docs_of(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got == plain_leaks(texts, items) and len(got) >= 15
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 
@@ -288,8 +414,13 @@ def test_warc(spark, tmp_path):
         data, least = (h or "").encode(), min(by_payload[(h or "").encode()])
         want.append((i, u, "response" if i == least else "revisit", len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), None if i == least else least, data if i == least else None))
     assert Counter((*r[:6], r[6] and bytes(r[6]) if r[6] is not None else None) for r in map(tuple, got)) == Counter(want)
-    first = min(tmp_path.glob("w/part-*")).read_bytes()
-    assert first[:4] == warc.DICTIONARY_MAGIC and zstandard.FRAME_HEADER in first
+    archives = sorted(tmp_path.glob("w/*.warc.zst"))
+    assert archives and not list(tmp_path.glob("w/part-*.txt"))
+    assert all((first := a.read_bytes())[:4] == warc.DICTIONARY_MAGIC and zstandard.FRAME_HEADER in first for a in archives)
+    warc.write_archives(pages, str(tmp_path / "cut"), archive_bytes=2_000)
+    assert Counter(map(tuple, warc.read_archives(spark, str(tmp_path / "cut")).drop("payload").collect())) == Counter(tuple(r)[:6] for r in got)
+    sizes = [a.stat().st_size for a in tmp_path.glob("cut/*.warc.zst")]
+    assert len(sizes) > len(archives) and max(sizes) <= 2_000 + 8
     warc.write_archives(pages, str(tmp_path / "big"), min_revisit_bytes=10**6)
     assert {r.record_type for r in warc.read_archives(spark, str(tmp_path / "big")).collect()} == {"response"}
     assert warc.round_trip(pages.limit(0)).count() == 0
@@ -456,9 +587,121 @@ def test_forest(spark, labelled):
     assert all(r.kept != r.base_failed for r in plain) and forest.judged(docs_of(spark, texts).limit(0), labels).count() == 0
 
 
+def test_ranking_agrees_with_a_plain_fit(spark, labelled):
+    """Weights at which the loss over the pairs has no slope, and scores by the quantiles of the training scores."""
+    texts, marks, labels = labelled
+    docs = docs_of(spark, texts)
+    stats = textstats.measured(docs)
+    x, y = textstats.labelled_sample(stats, labels, 1000, train_only=True)
+    x = x[:, textstats.COLUMNS]
+    model = ranking.fit(x, y)
+    z = np.clip((x - np.median(x, axis=0)) / np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1), -8, 8)
+    good, bad, draw = np.flatnonzero(y == 1), np.flatnonzero(y == 0), np.random.default_rng(7)
+    n = min(ranking.PAIRS, len(good) * len(bad))
+    d = z[draw.choice(good, n)] - z[draw.choice(bad, n)]
+
+    def loss(w):
+        return float(np.logaddexp(0, -(d @ w)).mean() + 5e-4 * w @ w)
+
+    w = model.weights
+    for k in range(len(w)):
+        step = np.zeros(len(w))
+        step[k] = 1e-3
+        assert loss(w) <= loss(w + step) + 1e-12 and loss(w) <= loss(w - step) + 1e-12
+    held = {r.doc_id: np.array(r.features)[textstats.COLUMNS] for r in stats.collect()}
+    scale = np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1)
+    for r in ranking.quality_scores(docs, labels, train_rows=1000).collect():
+        raw = sum(min(8, max(-8, (f - c) / s)) * w for f, c, s, w in zip(held[r.doc_id], np.median(x, axis=0), scale, model.weights))
+        below = [k for k, knot in enumerate(model.knots) if knot <= raw]
+        at = below[-1] if below else 0
+        want = model.levels[at]
+        if below and at + 1 < len(model.knots):
+            want += (model.levels[at + 1] - want) * (raw - model.knots[at]) / (model.knots[at + 1] - model.knots[at])
+        assert abs(r.score - want) < 1e-6 and r.predicted == (r.score >= 0.7)
+
+
+def test_forest_agrees_with_plain_walks(spark, labelled):
+    """Anomalies by walking every tree for every document, and the threshold by trying every value."""
+    texts, marks, labels = labelled
+    draw = np.random.default_rng(18)
+    texts, marks = [*texts, *(prose(draw, int(draw.integers(40, 90))) for _ in range(300))], [*marks, *[None] * 300]
+    docs = docs_of(spark, texts)
+    stats = textstats.measured(docs)
+    order = stats.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)), "doc_id").collect()
+    x = np.array([r.features for r in order])[:, textstats.COLUMNS]
+    trees = forest.grown(x).trees
+    mean_search = lambda n: 0 if n < 2 else 2 * (np.log(max(n - 1, 1)) + 0.5772156649) - 2 * (n - 1) / n
+    typical = mean_search(min(forest.SUBSAMPLE, len(x)))
+
+    def walk(tree, row):
+        node = 0
+        while tree.feature[node] >= 0:
+            node = tree.child[node] + (row[tree.feature[node]] > tree.split[node])
+        return tree.length[node]
+
+    plain = {r.doc_id: 2 ** -(np.mean([walk(t, row) for t in trees]) / typical) for r, row in zip(order, x)}
+    got = {r.doc_id: r for r in forest.judged(docs, labels, 10_000).collect()}
+    assert all(abs(got[k].anomaly - a) < 1e-9 for k, a in plain.items())
+    known = [(plain[k], q) for k, q in enumerate(marks) if q is not None and k not in (11, 12)] + [(plain[11], 1)]
+    n_good, n_bad = (sum(q == v for _, q in known) for v in (1, 0))
+    shares = {t: (sum(a >= t and q == 1 for a, q in known) / n_good, sum(a >= t and q == 0 for a, q in known) / n_bad) for t, _ in known}
+    allowed = {t: f - l for t, (l, f) in shares.items() if l <= forest.MOST_LOST}
+    cut = min((t for t in allowed if allowed[t] > max(allowed.values()) - 1e-12), default=np.inf)
+    assert all(r.kept == (not r.base_failed and plain[k] < cut - 1e-12) for k, r in got.items())
+
+
 # 7 ------------------------------------------------------------------------------------------------------------------
 
 
+def plain_language(counts, text, longest=langid.LONGEST_GRAM):
+    """Word by word: log frequencies, else the mean over known n-grams of the longest length that has any."""
+    langs = sorted(counts)
+    grams = [
+        {l: Counter(g for w, k in counts[l].items() for g in langid.Model._cut(w, n) * k) for l in langs} for n in range(1, longest + 1)
+    ]
+
+    def logs(table, x):
+        seen = set().union(*table.values())
+        return np.array([np.log((table[l].get(x, 0) + 0.5) / (sum(table[l].values()) + 0.5 * len(seen))) for l in langs]) if x in seen else None
+
+    total, words = np.zeros(len(langs)), ["".join(c for c in w if c.isalpha()) for w in langid.WORD.findall((text or "").lower())]
+    words = [w for w in words if w]
+    for w in words:
+        own = logs(counts, w)
+        for n in range(longest, 0, -1):
+            if own is None:
+                rows = [r for g in langid.Model._cut(w, n) if (r := logs(grams[n - 1], g)) is not None]
+                own = np.mean(rows, axis=0) if rows else None
+        total += 0 if own is None else own
+    if not words:
+        return "und", 0.0
+    best = int(np.argmax(total))
+    return langs[best], 1 / np.exp(total - total[best]).sum()
+
+
+def test_language_agrees_with_a_plain_scorer(spark):
+    draw = np.random.default_rng(17)
+    make = lambda parts, n: " ".join("".join(draw.choice(parts, 2)) for _ in range(n))
+    parts = {"aa": ["ka", "lo", "mi", "ré"], "bb": ["ka", "lo", "tz", "lö"], "cc": ["mi", "ко", "lö"]}
+    langs = [["aa", "bb", "cc"][k % 3] for k in range(60)]
+    texts = [make(parts[l], int(draw.integers(1, 9))) for l in langs] + ["kalo zzqx ², tzko", "qqq", None, "12", "Éa ка_lo"]
+    docs = docs_of(spark, texts, langs=[*langs, *["aa"] * 5])
+    counts = defaultdict(Counter)
+    for k, (t, l) in enumerate(zip(texts, [*langs, *["aa"] * 5])):
+        if t is not None and zlib.crc32(str(k).encode()) % 4 != 2:
+            counts[l].update(langid.WORD.findall(t.lower()))
+    counts = {l: Counter({w: n for w, n in c.items() if n >= 2}) for l, c in counts.items()}
+    got = {r.doc_id: r for r in langid.predictions(docs, langid.train(docs)).collect()}
+    for k, t in enumerate(texts):
+        want, score = plain_language(counts, t)
+        assert abs(got[k].score - score) < 1e-9 and (got[k].lang_pred == want or abs(score - 0.5) < 1e-9), t
+
+
+def test_vocabulary_is_cut_at_a_count():
+    assert langid._cut([(5, 2), (4, 3), (1, 9)], 5) == 4 and langid._cut([(5, 2), (4, 3), (1, 9)], 4) == 5 and langid._cut([(5, 2)], 1) > 5
+
+
+
 def test_language(spark):
     draw = np.random.default_rng(7)
     make = lambda parts: " ".join("".join(draw.choice(parts, 3)) for _ in range(int(draw.integers(1, 60))))
