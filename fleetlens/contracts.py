@@ -28,6 +28,7 @@ COLUMNS = {
     "stg_trips": "trip_id string NOT NULL, route_id string NOT NULL, service_id string NOT NULL, trip_headsign string, trip_short_name string, direction_id bigint, block_id string, shape_id string, wheelchair_accessible bigint, bikes_allowed bigint, feed_hash string NOT NULL",
     "stg_vehicle_positions": "record_id string NOT NULL, entity_id string NOT NULL, timestamp timestamp NOT NULL, timestamp_s bigint, vehicle_id string, vehicle_label string, vehicle_license_plate string, latitude double, longitude double, bearing double, speed double, odometer double, occupancy_status string, route_id string, trip_id string, direction_id bigint, start_date string, start_time string, schedule_relationship string",
 }
+# Codes 4 to 7 are those of the public feed specification, where 4 is not in use.
 RELATION = {0: "SCHEDULED", 1: "ADDED", 2: "UNSCHEDULED", 3: "CANCELED", 5: "REPLACEMENT", 6: "DUPLICATED", 7: "DELETED"}
 OCCUPANCY = {
     0: "EMPTY", 1: "MANY_SEATS_AVAILABLE", 2: "FEW_SEATS_AVAILABLE", 3: "STANDING_ROOM_ONLY", 4: "CRUSHED_STANDING_ROOM_ONLY", 5: "FULL",

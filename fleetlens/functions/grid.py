@@ -73,8 +73,9 @@ class HexGrid:
     def disk(self, cell: Column, k: int) -> Column:
         """All cells at most k steps away."""
         resolution, q, r = self._parts(cell)
-        around = [(a, b) for a in range(-k, k + 1) for b in range(max(-k, -a - k), min(k, -a + k) + 1)]
-        return F.transform(
-            F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in around]),
-            lambda x: F.concat_ws(":", resolution.cast("string"), (q + x["a"]).cast("long").cast("string"), (r + x["b"]).cast("long").cast("string")),
+        at = lambda x: x.cast("long").cast("string")
+        row = lambda a: F.transform(
+            F.sequence(F.greatest(F.lit(-k), -a - k), F.least(F.lit(k), -a + k)),
+            lambda b: F.concat_ws(":", resolution.cast("string"), at(q + a), at(r + b)),
         )
+        return F.when(cell.isNotNull(), F.flatten(F.transform(F.sequence(F.lit(-k), F.lit(k)), row)))

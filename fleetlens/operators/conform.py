@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from fleetlens.functions.scalars import epoch_to_timestamp, hash_id, labelled, rounded, second, whole_number
 
 
+BUCKETS = 64
+
+
 @dataclass(frozen=True)
 class Contract:
     """A table: its schema and how raw rows become rows of it."""
@@ -74,9 +77,10 @@ def _coerced(f: T.StructField, contract: Contract, df: DataFrame) -> Column:
 
 
 def deduplicated(df: DataFrame, key: str = "record_id") -> DataFrame:
-    """One row for each key: of every column the first value that is not null by updated_at, which becomes the last."""
+    """One row for each key: of every column the first value that is not null by updated_at, null last, which becomes
+    the last; of values at one time the smallest."""
     others = [c for c in df.columns if c not in (key, "created_at", "updated_at")]
-    first = [F.expr(f"min_by(`{c}`, coalesce(updated_at, timestamp'9999-12-31')) filter (where `{c}` is not null)").alias(c) for c in others]
+    first = [F.expr(f"min_by(`{c}`, struct(updated_at is null, updated_at, `{c}`)) filter (where `{c}` is not null)").alias(c) for c in others]
     out = df.groupBy(key).agg(F.min("updated_at").alias("created_at"), F.max("updated_at").alias("updated_at"), *first)
     return out.select(*df.columns)
 
@@ -111,7 +115,16 @@ def validated(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def ddl(contract: Contract) -> str:
-    """A CREATE TABLE statement of the contract."""
+    """A CREATE TABLE statement of the contract.
+
+    A table partitioned by an instant gets a column of its date, as the writers make it, and is partitioned by that.
+    Cluster columns are the buckets' and their order.
+    """
     columns = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in contract.schema)
-    day = f"\nPARTITIONED BY ({contract.partition})" if contract.partition else ""
-    return f"CREATE TABLE `{contract.name}` (\n  {columns}\n) USING parquet{day}"
+    by = contract.partition
+    if by and isinstance(contract.schema[by].dataType, T.TimestampType):
+        columns, by = f"{columns},\n  `dt` date", "dt"
+    keys = ", ".join(contract.cluster)
+    day = f"\nPARTITIONED BY ({by})" if by else ""
+    buckets = f"\nCLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {BUCKETS} BUCKETS" if keys else ""
+    return f"CREATE TABLE `{contract.name}` (\n  {columns}\n) USING parquet{day}{buckets}"

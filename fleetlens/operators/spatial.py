@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import geometry as g
+from fleetlens.functions.scalars import ratio
 
 #: Side of the tiles, in degrees, that both sides of the join are dealt out to.
 TILE = 0.01
-DRIVEN = ("motorway", "trunk", "primary", "secondary", "tertiary", "unclassified", "residential", "service", "busway")
+# Road classes that vehicles drive on.
+DRIVEN = (
+    "motorway", "trunk", "primary", "secondary", "tertiary", "unclassified", "residential", "service",
+    "motorway_link", "trunk_link", "primary_link", "secondary_link", "tertiary_link", "living_street", "busway",
+)
+ROAD = ("name", "highway", "oneway", "maxspeed")
 
 
 def tiles(bounds: Column, side: float = TILE) -> Column:
@@ -41,7 +47,8 @@ def match_shapes(
     shapes: DataFrame, roads: DataFrame, buffer_m: float = 6.0, margin_m: float = 25.0, least_m: float = 10.0,
     least_share: float = 0.15, simplify_m: float | None = None,
 ) -> DataFrame:
-    """(shape_id, edge_id, edge_length_m, overlap_m) of shapes(shape_id, line) and roads(edge_id, length_m, line).
+    """(shape_id, edge_id, edge_length_m, overlap_m, overlap_ratio) of shapes(shape_id, line) and roads(edge_id, length_m,
+    line).
 
     Both sides are dealt out to tiles and joined on them; bounds are compared next, and only then lengths within
     buffer_m of the shape. simplify_m thins the shapes first, as the strict variant does.
@@ -61,10 +68,15 @@ def match_shapes(
     near = left.join(right, "tile").where(g.boxes_meet(F.col("shape_bounds"), F.col("edge_bounds")) & (F.col("tile") == first))
     measured = near.withColumn("overlap_m", g.overlap_m(F.col("edge_line"), F.col("shape_line"), buffer_m))
     return measured.where((F.col("overlap_m") > least_m) & (F.col("overlap_m") >= least_share * F.col("length_m"))).select(
-        "shape_id", "edge_id", F.col("length_m").alias("edge_length_m"), "overlap_m"
+        "shape_id", "edge_id", F.col("length_m").alias("edge_length_m"), "overlap_m", ratio("overlap_m", "length_m").alias("overlap_ratio")
     )
 
 
+def with_roads(matched: DataFrame, roads: DataFrame) -> DataFrame:
+    """Matches with the name and tags of their roads."""
+    return matched.join(roads.select("edge_id", F.col("name").alias("road_name"), *ROAD[1:]), "edge_id")
+
+
 def unmatched(roads: DataFrame, matched: DataFrame) -> DataFrame:
     """Roads that no shape runs along."""
     return roads.join(matched, "edge_id", "left_anti")

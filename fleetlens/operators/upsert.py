@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,8 +46,10 @@ def append(df: DataFrame, path: str, columns: Sequence[str], time: str = "timest
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str] = ("record_id",), time: str = "timestamp") -> None:
     """Merge a batch into a table partitioned by day; only the partitions of the batch's days are read and rewritten.
 
-    The merge is written beside the table first, as a table can't be overwritten while it is read; a rerun after a
-    lost executor or driver gives the same rows.
+    Afterwards the table holds what merged() gives: days of the batch's span that the merge has emptied, as their rows
+    moved to other days, are deleted. The merge is written beside the table first, as a table can't be overwritten
+    while it is read, and deleted at the end; a rerun after a lost executor or driver gives the same rows. Other keys,
+    or several, make the merge of other tables.
     """
     batch = batch.where(F.col(time).isNotNull())
     first, last = batch.agg(F.to_date(F.min(time)), F.to_date(F.max(time))).first()
@@ -55,7 +58,8 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     clustered = lambda df: df.repartition(DAY, *keys).sortWithinPartitions(DAY, *keys)
     sc = spark.sparkContext
     at = sc._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at):
+    fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(at):
         latest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("updated_at"), F.desc(time))
         fresh = batch.withColumn("__n", F.row_number().over(latest)).where("__n = 1").drop("__n")
         clustered(fresh.withColumn(DAY, F.to_date(time))).write.partitionBy(DAY).parquet(path)
@@ -63,7 +67,45 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     days = spark.read.parquet(path).where(F.col(DAY).between(F.lit(first), F.lit(last))).drop(DAY)
     staged = f"{path.rstrip('/')}__staged"
     merged(days, batch.select(*days.columns), keys, time).withColumn(DAY, F.to_date(time)).write.mode("overwrite").parquet(staged)
-    clustered(spark.read.parquet(staged)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+    kept = spark.read.parquet(staged)
+    clustered(kept).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+    full = {str(r[0]) for r in kept.select(DAY).distinct().collect()}  # days of the batch's span
+    for folder in fs.listStatus(at):
+        name = folder.getPath().getName()
+        day = name.removeprefix(f"{DAY}=")
+        if name != day and str(first) <= day <= str(last) and day not in full:
+            fs.delete(folder.getPath(), True)
+    fs.delete(sc._jvm.org.apache.hadoop.fs.Path(staged), True)
+
+
+def merge_untimed(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Merge a batch into a small table without days, as a manifest or a curated table: a batch row replaces the stored
+    row of its keys, keeping created_at; others are added. Of batch rows with one key the last updated counts.
+
+    The new table is written beside the old one, which it replaces by a rename, so that readers see either.
+    """
+    keys = list(keys)
+    latest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("updated_at"), F.xxhash64(*batch.columns))
+    fresh = batch.withColumn("__n", F.row_number().over(latest)).where("__n = 1").drop("__n")
+    sc = spark.sparkContext
+    file = sc._jvm.org.apache.hadoop.fs.Path
+    fs = file(path).getFileSystem(sc._jsc.hadoopConfiguration())
+    base = path.rstrip("/")
+    if not fs.exists(file(path)) and fs.exists(file(f"{base}__old")):  # a merge was cut off between its two renames
+        fs.rename(file(f"{base}__old"), file(path))
+    if fs.exists(file(path)):
+        stored = spark.read.parquet(path)
+        old = stored.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("created_at").alias("__made"))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        updated = fresh.join(old, same, "left").withColumn("created_at", F.coalesce("__made", "created_at")).select(*stored.columns)
+        gone = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys])
+        fresh = stored.join(gone, same, "left_anti").unionByName(updated)
+    fresh.write.mode("overwrite").parquet(f"{base}__staged")
+    fs.delete(file(f"{base}__old"), True)
+    if fs.exists(file(path)):
+        fs.rename(file(path), file(f"{base}__old"))
+    fs.rename(file(f"{base}__staged"), file(path))
+    fs.delete(file(f"{base}__old"), True)
 
 
 def new_only(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

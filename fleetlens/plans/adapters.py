@@ -1,7 +1,7 @@
 """Feed-shaped views over the star-schema tables, so that every model can run on them.
 
-Service dates, schedules and updates are derived from keys: vehicles are users, trips are order keys up to the largest
-user, stops are order lines.
+Service dates, schedules and updates are derived from keys: vehicles are users, trips are order keys, of which those of
+users have positions, and stops are order lines.
 """
 
 from __future__ import annotations
@@ -89,11 +89,10 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines of keys up to the largest user, with a number within their (key, line)."""
-    most = table(spark, sf_dir, "events").agg(F.max("user_id").alias("most"))
+    """Order lines with a number within their (key, line)."""
     order = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus"]
     nth = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*order))
-    lines = table(spark, sf_dir, "lineitem").join(F.broadcast(most), F.col("l_orderkey") <= F.col("most"))
+    lines = table(spark, sf_dir, "lineitem")
     at = F.timestamp_seconds(F.lit(1704067200) + F.col("l_linenumber").cast("long") * 345600)
     return lines.withColumn("nth", nth).withColumn("planned", at)
 
@@ -107,7 +106,11 @@ def daily_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("R"), (F.col("l_orderkey") % 10).cast("string")).alias("route_id"),
         (F.col("l_orderkey") % 2).cast("long").alias("direction_id"),
         F.concat(F.lit("U"), F.col("l_orderkey").cast("string")).alias("trip_id"),
+        F.concat(F.lit("N"), (F.col("l_orderkey") % 10).cast("string")).alias("route_short_name"),
+        F.concat(F.lit("to "), (F.col("l_orderkey") % 5).cast("string")).alias("trip_headsign"),
+        F.concat(F.lit("H"), (F.col("l_orderkey") % 7).cast("string")).alias("shape_id"),
         F.col("l_partkey").cast("string").alias("stop_id"),
+        F.concat(F.lit("Stop "), F.col("l_partkey").cast("string")).alias("stop_name"),
         F.col("l_linenumber").cast("long").alias("stop_sequence"),
         F.when(~blank, F.col("planned")).alias("scheduled_arrival"),
         F.timestamp_seconds(F.unix_timestamp("planned") + 30).alias("scheduled_departure"),

@@ -152,9 +152,10 @@ LAST_FLAGS = ("arrival_is_observed", "arrival_is_predicted", "departure_is_obser
 def fct_trip_event(plan: DataFrame, updates: DataFrame) -> DataFrame:
     """One row for each scheduled stop, with the last known value of each field of its updates."""
     keys = ["trip_id", "start_date", "stop_id", "stop_sequence"]
-    known = [F.expr(f"max_by({c}, rt_timestamp) filter (where {c} is not null)").alias(c) for c in LAST_KNOWN]
+    # of updates at one time that with the largest id is the last
+    known = [F.expr(f"max_by({c}, struct(rt_timestamp, record_id)) filter (where {c} is not null)").alias(c) for c in LAST_KNOWN]
     last = updates.groupBy(*keys).agg(
-        F.max("rt_timestamp").alias("rt_timestamp"), *known, *[F.max_by(c, "rt_timestamp").alias(c) for c in LAST_FLAGS]
+        F.max("rt_timestamp").alias("rt_timestamp"), *known, *[F.max_by(c, F.struct("rt_timestamp", "record_id")).alias(c) for c in LAST_FLAGS]
     )
     at = F.coalesce("actual_arrival", "actual_departure", "rt_timestamp")
     late = F.coalesce("arrival_delay_s", "departure_delay_s")
@@ -170,11 +171,9 @@ def fct_trip_event(plan: DataFrame, updates: DataFrame) -> DataFrame:
     return own.join(rt, ["trip_id", "service_day", "stop_id", "stop_sequence"], "left").drop("service_day")
 
 
-def _mode(events: DataFrame, keys: Sequence[str], value: str, name: str, *, count_null: bool = True) -> DataFrame:
-    """The commonest value for each key; of equally common ones the smallest, null last."""
-    counted = (events if count_null else events.where(F.col(value).isNotNull())).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc_nulls_last(value)))
-    return counted.withColumn("nth", nth).where("nth = 1").select(*keys, F.col(value).alias(name))
+def _named(events: DataFrame, *columns: str) -> DataFrame:
+    """events with those of the columns that they lack, null."""
+    return events.select("*", *[F.lit(None).cast("string").alias(c) for c in columns if c not in events.columns])
 
 
 def _null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -191,12 +190,18 @@ TRIP_KEYS = ["service_date_dt", "service_date", "feed_hash", "route_id", "direct
 
 
 def fct_trip(events: DataFrame) -> DataFrame:
-    """One row for each trip of a day: run, dwell and travel times, coverage, punctuality."""
+    """One row for each trip of a day: names, ends, run, dwell and travel times, coverage, punctuality, and its commonest
+    vehicle, of equally common ones the smallest."""
     dwell = at_least_zero(seconds_between("scheduled_departure", "scheduled_arrival"))
     both = F.col("actual_arrival").isNotNull() & F.col("actual_departure").isNotNull()
     known = F.col("actual_arrival").isNotNull() | F.col("actual_departure").isNotNull()
     canceled = F.col("schedule_relationship").isin("CANCELED", "3")
+    events = _named(events, "route_short_name", "trip_headsign", "shape_id", "stop_name")
+    at = F.struct("stop_sequence", "stop_id")
+    ends = [f(f"stop_{c}", at).alias(f"{n}_stop_{c}") for n, f in (("first", F.min_by), ("last", F.max_by)) for c in ("id", "name")]
     total = events.groupBy(*TRIP_KEYS).agg(
+        *[F.min(c).alias(c) for c in ("route_short_name", "trip_headsign", "shape_id")],
+        *ends,
         F.min("scheduled_departure").alias("planned_first_departure"),
         F.max("scheduled_arrival").alias("planned_last_arrival"),
         F.min("actual_departure").alias("actual_first_departure"),
@@ -210,23 +215,23 @@ def fct_trip(events: DataFrame) -> DataFrame:
         F.avg("early_late_s").alias("avg_early_late_s"),
         F.percentile_approx("early_late_s", 0.5, 10000).cast("long").alias("p50_early_late_s"),
         F.avg(F.when(F.col("otp_flag"), 1.0).otherwise(0.0)).alias("otp_stop_ratio"),
-        F.max_by("otp_flag", "stop_sequence").alias("trip_otp_flag"),
+        F.max_by("otp_flag", at).alias("trip_otp_flag"),
         F.min("rt_event_ts_utc").alias("first_rt_event_ts_utc"),
         F.max("rt_event_ts_utc").alias("last_rt_event_ts_utc"),
         F.bool_or(canceled).alias("is_canceled"),
         F.bool_or(F.col("schedule_relationship") == "NO_DATA").alias("is_no_data"),
         F.bool_or("is_observed").alias("any_observed"),
         F.bool_or("is_predicted").alias("any_predicted"),
+        F.mode(F.struct(F.col("vehicle_id").isNull(), F.col("vehicle_id").alias("v")), True)["v"].alias("vehicle_id"),
     )
     run = lambda kind: seconds_between(f"{kind}_last_arrival", f"{kind}_first_departure")
-    timed = (
+    return (
         total.withColumn("planned_runtime_s", run("planned"))
         .withColumn("actual_runtime_s", run("actual"))
         .withColumn("planned_travel_s", F.col("planned_runtime_s") - F.col("planned_dwell_s"))
         .withColumn("actual_travel_s", F.col("actual_runtime_s") - F.col("actual_dwell_s"))
         .withColumn("rt_coverage_ratio", ratio("rt_stop_count", "planned_stop_count"))
     )
-    return _null_safe(timed, _mode(events, TRIP_KEYS, "vehicle_id", "vehicle_id"), TRIP_KEYS)
 
 
 def fct_trip_dwell(events: DataFrame) -> DataFrame:
@@ -241,12 +246,17 @@ def fct_trip_dwell(events: DataFrame) -> DataFrame:
     )
 
 
-NEXT = ("stop_id", "stop_sequence", "scheduled_arrival", "actual_arrival", "shape_dist_traveled", "arrival_is_observed")
+NEXT = ("stop_id", "stop_name", "stop_sequence", "scheduled_arrival", "actual_arrival", "shape_dist_traveled", "arrival_is_observed")
 
 
 def fct_trip_segment(events: DataFrame, positions: DataFrame) -> DataFrame:
-    """One row for each stop and the next, with speeds and the positions reported on the way."""
-    order = Window.partitionBy("trip_id", "service_date").orderBy("stop_sequence")
+    """One row for each stop and the next, with speeds and the positions reported on the way.
+
+    positions is the position fact, or staged positions. Legs are dealt out to the days (UTC) that they touch and joined on trip and day, as
+    trip ids recur day by day.
+    """
+    events = _named(events, "stop_name")
+    order = Window.partitionBy("trip_id", "service_date").orderBy("stop_sequence", "stop_id")
     legs = events.select("*", *[F.lead(c).over(order).alias(f"to_{c}") for c in NEXT]).where("to_stop_id is not null")
     planned = seconds_between("to_scheduled_arrival", "scheduled_departure")
     rt = seconds_between("to_actual_arrival", "actual_departure")
@@ -254,7 +264,10 @@ def fct_trip_segment(events: DataFrame, positions: DataFrame) -> DataFrame:
     speed = lambda s: ratio(length * 3.6, F.nullif(F.col(s), F.lit(0)))
     legs = legs.select(
         "service_date", "feed_hash", "route_id", "direction_id", "trip_id",
-        F.col("stop_id").alias("from_stop_id"), "to_stop_id", F.col("stop_sequence").alias("from_stop_sequence"), "to_stop_sequence",
+        F.col("stop_id").alias("from_stop_id"), F.col("stop_name").alias("from_stop_name"), "to_stop_id", "to_stop_name",
+        F.col("stop_sequence").alias("from_stop_sequence"), "to_stop_sequence",
+        F.col("scheduled_departure").alias("from_scheduled_departure"), "to_scheduled_arrival",
+        F.col("actual_departure").alias("from_actual_departure"), "to_actual_arrival",
         planned.alias("planned_travel_s"), rt.alias("rt_travel_s"), F.coalesce(rt, planned).alias("travel_s"), length.alias("segment_length_m"),
         F.coalesce("actual_departure", "scheduled_departure").alias("from_time"),
         F.coalesce("to_actual_arrival", "to_scheduled_arrival").alias("to_time"),
@@ -263,14 +276,20 @@ def fct_trip_segment(events: DataFrame, positions: DataFrame) -> DataFrame:
     length = at_least_zero(F.col("to_shape_dist_traveled") - F.col("shape_dist_traveled"))
     legs = legs.select("*", speed("planned_travel_s").alias("planned_speed_kmh"), speed("rt_travel_s").alias("rt_speed_kmh"), speed("travel_s").alias("speed_kmh"))
     keys = ["service_date", "trip_id", "from_stop_sequence", "to_stop_sequence", "from_time", "to_time"]
-    seen = positions.select("trip_id", "timestamp", "speed", "occupancy_status")
-    met = legs.select(*keys).distinct().alias("l").join(
-        seen.alias("v"),
-        (F.col("l.trip_id") == F.col("v.trip_id")) & F.col("v.timestamp").between(F.col("l.from_time"), F.col("l.to_time")),
-    ).select("l.*", "v.speed", "v.occupancy_status")
-    speeds = met.groupBy(*keys).agg(F.avg("speed").alias("vp_avg_speed_kmh"), F.count("*").alias("vp_count"))
-    with_speed = _null_safe(legs, speeds, keys)
-    out = _null_safe(with_speed, _mode(met, keys, "occupancy_status", "vp_occupancy_status"), keys)
+    days = F.explode(F.sequence(F.to_date("from_time"), F.to_date("to_time")))
+    spans = legs.where("from_time <= to_time").select(*keys).distinct().withColumn("day", days)
+    positions = positions.withColumnsRenamed({"timestamp": "timestamp_utc", "speed": "speed_kmh"})
+    seen = positions.where("trip_id is not null").select("trip_id", F.to_date("timestamp_utc").alias("day"), "timestamp_utc", "speed_kmh", "occupancy_status")
+    met = spans.join(seen, ["trip_id", "day"]).where("timestamp_utc between from_time and to_time")
+    by_status = met.groupBy(*keys, "occupancy_status").agg(
+        F.sum("speed_kmh").alias("total"), F.count("speed_kmh").alias("known"), F.count("*").alias("n")
+    )
+    commonest = F.struct(-F.col("n"), F.col("occupancy_status").isNull(), "occupancy_status")
+    reported = by_status.groupBy(*keys).agg(
+        ratio(F.sum("total"), F.sum("known")).alias("vp_avg_speed_kmh"), F.sum("n").alias("vp_count"),
+        F.min_by("occupancy_status", commonest).alias("vp_occupancy_status"),
+    )
+    out = _null_safe(legs, reported, keys)
     return out.drop("shape_dist_traveled", "to_shape_dist_traveled").withColumn("vp_count", F.coalesce("vp_count", F.lit(0)))
 
 

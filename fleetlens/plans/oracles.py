@@ -80,11 +80,12 @@ WITH vp AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity,
       l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) AS nth,
     TIMESTAMP '2024-01-01' + to_days((l_linenumber * 4)::INT) AS planned
-  FROM lineitem WHERE l_orderkey <= (SELECT max(user_id) FROM events)
+  FROM lineitem
 ), schedule AS (
   SELECT 20240101::BIGINT AS service_date, DATE '2024-01-01' AS service_date_dt, 'AFRICA' AS feed_hash, 'R' || (l_orderkey % 10) AS route_id,
-    (l_orderkey % 2)::BIGINT AS direction_id, 'U' || l_orderkey AS trip_id, l_partkey::VARCHAR AS stop_id, l_linenumber::BIGINT AS stop_sequence,
-    CASE WHEN l_orderkey % 13 <> 0 THEN planned END AS scheduled_arrival, planned + INTERVAL 30 SECOND AS scheduled_departure,
+    (l_orderkey % 2)::BIGINT AS direction_id, 'U' || l_orderkey AS trip_id, 'N' || (l_orderkey % 10) AS route_short_name,
+    'to ' || (l_orderkey % 5) AS trip_headsign, 'H' || (l_orderkey % 7) AS shape_id, l_partkey::VARCHAR AS stop_id, 'Stop ' || l_partkey AS stop_name,
+    l_linenumber::BIGINT AS stop_sequence, CASE WHEN l_orderkey % 13 <> 0 THEN planned END AS scheduled_arrival, planned + INTERVAL 30 SECOND AS scheduled_departure,
     l_linenumber * 500.0::DOUBLE AS shape_dist_traveled
   FROM lines WHERE nth = 1
 ), stop_of AS (
@@ -153,7 +154,9 @@ WITH vp AS (
   SELECT * EXCLUDE (n) FROM (SELECT service_date, trip_id, feed_hash, route_id, direction_id, vehicle_id, count(*) AS n FROM trip_event GROUP BY ALL)
   QUALIFY row_number() OVER (PARTITION BY service_date, trip_id, feed_hash, route_id, direction_id ORDER BY n DESC, vehicle_id ASC NULLS LAST) = 1
 ), trip_sums AS (
-  SELECT service_date_dt, service_date, feed_hash, route_id, direction_id, trip_id, min(scheduled_departure) AS planned_first_departure,
+  SELECT service_date_dt, service_date, feed_hash, route_id, direction_id, trip_id, min(route_short_name) AS route_short_name,
+    min(trip_headsign) AS trip_headsign, min(shape_id) AS shape_id, arg_min(stop_id, stop_sequence) AS first_stop_id, arg_min(stop_name, stop_sequence) AS first_stop_name,
+    arg_max(stop_id, stop_sequence) AS last_stop_id, arg_max(stop_name, stop_sequence) AS last_stop_name, min(scheduled_departure) AS planned_first_departure,
     max(scheduled_arrival) AS planned_last_arrival, min(actual_departure) AS actual_first_departure, max(actual_arrival) AS actual_last_arrival,
     sum(CASE WHEN scheduled_arrival IS NOT NULL AND scheduled_departure IS NOT NULL THEN greatest(date_sub('second', scheduled_arrival, scheduled_departure), 0) END)::BIGINT AS planned_dwell_s,
     sum(CASE WHEN actual_arrival IS NOT NULL AND actual_departure IS NOT NULL THEN greatest(date_sub('second', actual_arrival, actual_departure), 0) ELSE 0 END)::BIGINT AS actual_dwell_s,
@@ -182,11 +185,12 @@ WITH vp AS (
     (arrival_is_predicted OR departure_is_predicted) AND NOT (arrival_is_observed AND departure_is_observed) AS dwell_is_predicted
   FROM trip_event
 ), legs AS (
-  SELECT *, lead(stop_id) OVER w AS to_stop_id, lead(stop_sequence) OVER w AS to_stop_sequence, lead(scheduled_arrival) OVER w AS to_scheduled_arrival,
+  SELECT *, lead(stop_id) OVER w AS to_stop_id, lead(stop_name) OVER w AS to_stop_name, lead(stop_sequence) OVER w AS to_stop_sequence, lead(scheduled_arrival) OVER w AS to_scheduled_arrival,
     lead(actual_arrival) OVER w AS to_actual_arrival, lead(shape_dist_traveled) OVER w AS to_dist, lead(arrival_is_observed) OVER w AS to_observed
   FROM trip_event WINDOW w AS (PARTITION BY trip_id, service_date ORDER BY stop_sequence)
 ), leg AS (
-  SELECT DISTINCT service_date, feed_hash, route_id, direction_id, trip_id, stop_id AS from_stop_id, to_stop_id, stop_sequence AS from_stop_sequence, to_stop_sequence,
+  SELECT DISTINCT service_date, feed_hash, route_id, direction_id, trip_id, stop_id AS from_stop_id, stop_name AS from_stop_name, to_stop_id, to_stop_name,
+    stop_sequence AS from_stop_sequence, to_stop_sequence, scheduled_departure AS from_scheduled_departure, to_scheduled_arrival, actual_departure AS from_actual_departure, to_actual_arrival,
     date_sub('second', scheduled_departure, to_scheduled_arrival) AS planned_travel_s, date_sub('second', actual_departure, to_actual_arrival) AS rt_travel_s,
     coalesce(date_sub('second', actual_departure, to_actual_arrival), date_sub('second', scheduled_departure, to_scheduled_arrival)) AS travel_s,
     CASE WHEN to_dist - shape_dist_traveled IS NOT NULL THEN greatest(to_dist - shape_dist_traveled, 0) END AS segment_length_m,
@@ -277,12 +281,13 @@ WITH vp AS (
   SELECT * FROM (VALUES ('AFRICA', 'S0'), ('AFRICA', 'S2')) AS x(feed_hash, service_id)
 ), kpis AS (
   SELECT rt_timestamp::DATE AS day, count(*) FILTER (abs({LATE}) <= 300) / nullif(count({LATE}), 0) AS on_time_share, count(DISTINCT trip_id)::BIGINT AS trips,
-    count(DISTINCT trip_id) FILTER (schedule_relationship IN ('CANCELED', '3'))::BIGINT AS canceled_trips, max(rt_timestamp) AS last_update
+    count(DISTINCT trip_id) FILTER (schedule_relationship IN ('CANCELED', '3'))::BIGINT AS canceled_trips, avg({LATE}) AS avg_delay_seconds,
+    count(*) FILTER (schedule_relationship IN ('CANCELED', '3'))::BIGINT AS canceled_updates, max(rt_timestamp) AS last_update
   FROM updates GROUP BY 1
 ), day_vehicles AS (
   SELECT ts::DATE AS day, count(DISTINCT vehicle_id)::BIGINT AS active_vehicles FROM vp GROUP BY 1
 ), daily AS (
-  SELECT day, on_time_share, trips, canceled_trips, canceled_trips / trips AS canceled_share, coalesce(active_vehicles, 0) AS active_vehicles, last_update
+  SELECT day, on_time_share, trips, canceled_trips, canceled_trips / trips AS canceled_share, avg_delay_seconds, canceled_updates / trips AS cancellation_rate, coalesce(active_vehicles, 0) AS active_vehicles, last_update
   FROM kpis LEFT JOIN day_vehicles USING (day)
 ), hours AS (
   SELECT TIMESTAMP '2024-01-05' + to_hours(h::INT) AS hour_ts FROM range(24) AS r(h)
@@ -391,9 +396,10 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
         FROM hours h""",
         "on_time_pct avg_delay_seconds",
     ),
-    "daily_kpis": ("SELECT * FROM daily", "on_time_share canceled_share"),
+    "daily_kpis": ("SELECT * FROM daily", "on_time_share canceled_share avg_delay_seconds cancellation_rate"),
     "kpis_fallback": (
-        "SELECT * FROM daily WHERE day BETWEEN DATE '2024-01-22' AND DATE '2024-02-05' ORDER BY day DESC LIMIT 1", "on_time_share canceled_share",
+        "SELECT * FROM daily WHERE day BETWEEN DATE '2024-01-22' AND DATE '2024-02-05' ORDER BY day DESC LIMIT 1",
+        "on_time_share canceled_share avg_delay_seconds cancellation_rate",
     ),
     "unmonitored_latest": (
         "SELECT * FROM detail ORDER BY end_timestamp_utc DESC, vehicle_id, start_timestamp_utc LIMIT 200",
@@ -462,10 +468,10 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
         "SELECT o_orderkey, substr(md5(o_orderkey || chr(31) || o_custkey || chr(31) || coalesce(o_orderstatus, '∅')), 1, 16) AS record_id FROM orders", "",
     ),
     "upsert_result": (
-        f"""SELECT event_id::VARCHAR AS record_id, ts AS timestamp, CASE WHEN event_id % 3 = 0 THEN value * 2 ELSE value END AS v,
+        f"""SELECT event_id::VARCHAR AS record_id, ts AS timestamp, CASE WHEN event_id % 2 = 1 OR event_id % 3 = 0 THEN value * 2 ELSE value END AS v,
           CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-01-01 00:01:00' END AS created_at,
-          CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-01 00:01:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
-        FROM events WHERE event_id % 2 = 0 OR event_id % 3 = 0""",
+          CASE WHEN event_id % 2 = 1 OR event_id % 3 = 0 THEN TIMESTAMP '2024-01-01 00:01:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
+        FROM events""",
         "v",
     ),
 }

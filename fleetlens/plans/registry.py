@@ -18,6 +18,7 @@ from fleetlens.operators import conform, spatial, upsert
 from fleetlens.plans import adapters as a
 from fleetlens.plans import models as m
 from fleetlens.plans import serving as s
+from fleetlens.session import shared_path
 
 ZONE = "Pacific/Auckland"
 QUERY_GAP_S, QUERY_MOVE_M = 26_000, 5_000.0
@@ -83,15 +84,18 @@ class Views:
         return conform.conform(first.unionByName(again), QUERY_CONTRACT).drop("record_id")
 
     def upserted(self) -> DataFrame:
-        """Even keys stored, every third key arriving with twice its value."""
+        """Even keys stored; the odd ones and every third key arrive with twice their values. Through a table on disk."""
         events = a.table(self.spark, self.sf_dir, "events").select(
             F.col("event_id").cast("string").alias("record_id"), F.col("ts").cast("timestamp").alias("timestamp"), F.col("value").alias("v")
         )
         stamp = lambda n: F.timestamp_seconds(F.lit(1704067200 + n))
         number = F.col("record_id").cast("long")
         target = events.where(number % 2 == 0).withColumn("created_at", stamp(0)).withColumn("updated_at", stamp(0))
-        batch = events.where(number % 3 == 0).withColumn("v", F.col("v") * 2).withColumn("created_at", stamp(60)).withColumn("updated_at", stamp(60))
-        return upsert.merged(target, batch)
+        batch = events.where((number % 2 == 1) | (number % 3 == 0)).withColumn("v", F.col("v") * 2).withColumn("created_at", stamp(60)).withColumn("updated_at", stamp(60))
+        path = shared_path(self.spark, "upsert")
+        for part in (target, batch):
+            upsert.upsert(self.spark, part, path)
+        return self.spark.read.parquet(path).drop(upsert.DAY)
 
 
 QUERY_CONTRACT = conform.Contract(
@@ -122,7 +126,7 @@ BUILDERS: dict[str, Callable[[Views], DataFrame]] = {
     "fct_trip_event": lambda v: v.trip_event,
     "fct_trip": lambda v: m.fct_trip(v.trip_event),
     "fct_trip_dwell": lambda v: m.fct_trip_dwell(v.trip_event),
-    "fct_trip_segment": lambda v: m.fct_trip_segment(v.trip_event, v.positions),
+    "fct_trip_segment": lambda v: m.fct_trip_segment(v.trip_event, v.vehicle),
     "fct_vehicle_position": lambda v: v.vehicle,
     "agg_position_vehicle_day": lambda v: v.vehicle_day,
     "agg_position_grid_day": lambda v: v.grid_day,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalars import ratio
@@ -44,17 +44,22 @@ def hourly_dashboard(
 
 
 def daily_kpis(updates: DataFrame, positions: DataFrame) -> DataFrame:
-    """One row for each day (UTC) with updates: punctuality, cancellations, vehicles."""
+    """One row for each day (UTC) with updates: punctuality, delay, cancellations, vehicles.
+
+    canceled_share is the canceled trips by all trips; cancellation_rate counts canceled updates by trips, as the
+    dashboard does, and may exceed 1.
+    """
     late = F.coalesce("arrival_delay", "departure_delay")
     canceled = F.col("schedule_relationship").isin("CANCELED", "3")
     days = updates.groupBy(F.to_date("rt_timestamp").alias("day")).agg(
         ratio(F.count_if(F.abs(late) <= LATE_S), F.nullif(F.count_if(late.isNotNull()), F.lit(0))).alias("on_time_share"),
         F.countDistinct("trip_id").alias("trips"), F.countDistinct(F.when(canceled, F.col("trip_id"))).alias("canceled_trips"),
-        F.max("rt_timestamp").alias("last_update"),
+        F.avg(late).alias("avg_delay_seconds"), F.count_if(canceled).alias("canceled_updates"), F.max("rt_timestamp").alias("last_update"),
     )
     vehicles = positions.groupBy(F.to_date("timestamp").alias("day")).agg(F.countDistinct("vehicle_id").alias("active_vehicles"))
     return days.join(vehicles, "day", "left").select(
         "day", "on_time_share", "trips", "canceled_trips", ratio("canceled_trips", "trips").alias("canceled_share"),
+        "avg_delay_seconds", ratio("canceled_updates", "trips").alias("cancellation_rate"),
         F.coalesce("active_vehicles", F.lit(0)).alias("active_vehicles"), "last_update",
     )
 
@@ -118,9 +123,3 @@ def manifest_candidates(manifest: DataFrame, dataset: str, status: str, n: int)
     """The latest objects with a status, 1 to 32 of them."""
     held = manifest.where((F.col("dataset") == dataset) & (F.col("status") == status))
     return held.orderBy(F.desc("capture_ts"), "object_uri").limit(min(max(n, 1), 32))
-
-
-def numbered_legs(edges: DataFrame) -> DataFrame:
-    """Edges of a shape by how much of it they carry."""
-    order = Window.partitionBy("shape_id").orderBy(F.desc("overlap_m"), "edge_id")
-    return edges.withColumn("nth", F.row_number().over(order))

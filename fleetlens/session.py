@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -18,3 +21,20 @@ def build_session(app: str = "fleetlens", **settings: str) -> SparkSession:
     for k, v in {**SETTINGS, **settings}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir, which the driver and all executors share. Where that is unset,
+    a temporary folder in local mode; on a cluster that raises."""
+    try:
+        folder = spark.conf.get("spark.checkpoint.dir")
+    except Exception:  # the key has no default in this release
+        folder = None
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="fleetlens-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

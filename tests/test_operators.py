@@ -68,7 +68,7 @@ def test_archives(spark, tmp_path):
 
 def test_every_contract_has_ddl(spark):
     every = contracts.contracts()
-    assert len(every) == 17 and "PARTITIONED BY (timestamp)" in conform.ddl(every["stg_trip_updates"]) and "`feed_hash` string NOT NULL" in conform.ddl(every["stg_stops"])
+    assert len(every) == 17 and "PARTITIONED BY (dt)" in conform.ddl(every["stg_trip_updates"]) and "`feed_hash` string NOT NULL" in conform.ddl(every["stg_stops"])
 
 
 def test_first_known_value_of_each_column(spark):
@@ -101,6 +101,31 @@ def test_upsert(spark, tmp_path):
     assert spark.read.parquet(path).where("record_id = 'a'").count() == 2
 
 
+def test_upsert_leaves_what_merged_gives(spark, tmp_path):
+    schema = "record_id string, timestamp timestamp, v int, created_at timestamp, updated_at timestamp"
+    day = lambda n: dt.datetime(2024, 1, n)
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([("a", day(2), 1, day(1), day(1)), ("b", day(1), 1, day(1), day(1)), ("c", day(9), 1, day(1), day(1))], schema)
+    batch = spark.createDataFrame([("a", day(3), 2, day(9), day(9)), ("b", day(1), 2, day(9), day(9))], schema)
+    upsert.upsert(spark, first, path)
+    want = rows(upsert.merged(first, batch))
+    for _ in range(2):
+        upsert.upsert(spark, batch, path)
+        assert rows(spark.read.parquet(path).drop("dt").select(*first.columns)) == want
+    assert not (tmp_path / "t" / "dt=2024-01-02").exists() and not (tmp_path / "t__staged").exists()
+
+
+def test_merge_by_other_keys_without_a_time(spark, tmp_path):
+    schema = "dataset string, object_uri string, status string, created_at int, updated_at int"
+    path = str(tmp_path / "m")
+    upsert.merge_untimed(spark, spark.createDataFrame([("d", "x", "pending", 1, 1), ("d", "y", "pending", 1, 1), (None, "x", "done", 1, 1)], schema), path, ["dataset", "object_uri"])
+    batch = spark.createDataFrame([("d", "x", "done", 2, 2), ("d", "x", "failed", 3, 3), ("e", "x", "pending", 2, 2), (None, "x", "lost", 2, 2)], schema)
+    for _ in range(2):
+        upsert.merge_untimed(spark, batch, path, ["dataset", "object_uri"])
+    want = [("d", "x", "failed", 1, 3), ("d", "y", "pending", 1, 1), ("e", "x", "pending", 2, 2), (None, "x", "lost", 1, 2)]
+    assert rows(spark.read.parquet(path)) == sorted(want, key=repr)
+
+
 def test_append_and_clustered(spark, tmp_path):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 1)], "record_id string, timestamp timestamp, extra int")
     for _ in range(2):
