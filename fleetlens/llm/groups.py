@@ -25,8 +25,8 @@ def crowded(sample: DataFrame, key: str, keep=keep, least: int = CROWDED) -> Dat
     return keep(sample.groupBy(key).count().where(F.col("count") >= least).select(key), "crowded")
 
 
-def numbered(rows: DataFrame, key: str, member: str, hot: DataFrame, *order: str, keep=keep) -> DataFrame:
-    """rows of groups with several members, with nth, least and last.
+def numbered(rows: DataFrame, key: str, member: str, hot: DataFrame, *order: str, carried: str | None = None, keep=keep) -> DataFrame:
+    """rows of groups with several members, with nth, least and last, and of the least its column carried.
 
     least is the group's smallest member, nth numbers rows by member from 1. A crowded group is dealt into SALTS parts
     by hash, each numbered by itself; its nth then takes one row of each part in turn, and last is the largest. Else
@@ -41,8 +41,10 @@ def numbered(rows: DataFrame, key: str, member: str, hot: DataFrame, *order: str
     else:
         salted = rows.withColumn("__salt", F.lit(None).cast("int"))
     group = Window.partitionBy(key, "__salt")
+    with_least = [F.first(carried).over(group.orderBy(member, *order)).alias(f"least_{carried}")] if carried else []
     ranked = salted.select(
         "*",
+        *with_least,
         F.row_number().over(group.orderBy(member, *order)).alias("nth"),
         F.first(member).over(group.orderBy(member, *order)).alias("least"),
         F.lead(member).over(group.orderBy(member, *order)).alias("__next"),
@@ -50,13 +52,14 @@ def numbered(rows: DataFrame, key: str, member: str, hot: DataFrame, *order: str
     if not n_hot:
         return ranked.drop("__salt").withColumn("last", F.lit(None).cast("int"))
     ranked = keep(ranked, "ranked")
+    with_least = [f"least_{carried}"] if carried else []
     facts = ranked.where("__salt is not null").groupBy(F.col(key).alias("__key")).agg(
-        F.min("least").alias("__least"), F.max(F.expr(f"(nth - 1) * {SALTS} + __salt + 1")).alias("__last")
+        F.min(F.struct("least", *with_least)).alias("__least"), F.max(F.expr(f"(nth - 1) * {SALTS} + __salt + 1")).alias("__last")
     )
     of = ranked.where("__salt is not null").withColumn("nth", F.expr(f"(nth - 1) * {SALTS} + __salt + 1"))
     of = of.join(small(facts), F.col(key) == F.col("__key"))
-    plain = ranked.where("__salt is null").select(*rows.columns, "nth", "least", F.lit(None).cast("int").alias("last"))
-    return plain.unionByName(of.select(*rows.columns, "nth", F.col("__least").alias("least"), F.col("__last").alias("last")))
+    plain = ranked.where("__salt is null").select(*rows.columns, "nth", "least", *with_least, F.lit(None).cast("int").alias("last"))
+    return plain.unionByName(of.select(*rows.columns, "nth", "__least.*", F.col("__last").alias("last")))
 
 
 def untried(first: int):
