@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 
+from fleetlens.contracts import OCCUPANCY
 from fleetlens.functions.grid import EDGE_0, STEP
 from fleetlens.functions.scalars import EARTH_M, ROUTE_MODES
-from fleetlens.plans.adapters import SOUTH, TYPES
+from fleetlens.operators.spatial import DRIVEN
+from fleetlens.plans.adapters import SOUTH, TYPES, WEST
 from fleetlens.plans.registry import DIGITS, NUDGE, QUERY_GAP_S, QUERY_MOVE_M
 
 
@@ -37,6 +39,9 @@ def _centre(cell: str) -> tuple[str, str]:
     return f"({size} * 1.5::DOUBLE * {part(3)})", f"({size} * {math.sqrt(3)!r}::DOUBLE * ({part(2)} + {part(3)} / 2))"
 
 
+# Half the height and width of a cell of resolution 8.
+TALL = f"{EDGE_0 / STEP**8!r}::DOUBLE"
+WIDE = f"{EDGE_0 / STEP**8 * math.cos(math.pi / 6)!r}::DOUBLE"
 MODES = "CASE route_type " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in ROUTE_MODES.items()) + " END"
 LOCAL = "timezone('Pacific/Auckland', timezone('UTC', {}))"
 LATE = "coalesce(arrival_delay, departure_delay)"
@@ -293,6 +298,13 @@ WITH vp AS (
   SELECT TIMESTAMP '2024-01-05' + to_hours(h::INT) AS hour_ts FROM range(24) AS r(h)
 ), edge_counts AS (
   SELECT trip_id, count(DISTINCT edge_id) AS n FROM bridge GROUP BY 1
+), cells AS (
+  SELECT DISTINCT {_cell("latitude", "longitude", 8)} AS cell FROM vp WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+), roads AS (
+  SELECT *, {_distance("lat", "west", "lat", "west + 0.0001::DOUBLE + (p_size % 7) * 0.0005::DOUBLE")} AS length_m,
+    (p_partkey % 4) * 0.00003::DOUBLE * radians(1.0) * {EARTH_M}::DOUBLE <= 6 AS near
+  FROM (SELECT *, {SOUTH}::DOUBLE + (p_partkey % 25) * 0.0003::DOUBLE + (p_partkey % 4) * 0.00003::DOUBLE AS lat,
+    {WEST}::DOUBLE + 0.0001::DOUBLE + (p_partkey % 40) * 0.001::DOUBLE AS west FROM part)
 )
 """
 
@@ -474,6 +486,54 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
         FROM events""",
         "v",
     ),
+    "realtime_round_trip": (
+        f"""SELECT DISTINCT vehicle_id, trip_id, route_id, ts AS timestamp, epoch(ts)::BIGINT AS timestamp_s, round_even(latitude, 6) AS latitude,
+          round_even(longitude, 6) AS longitude, round_even(speed, 2) AS speed,
+          CASE record_id::BIGINT % 9 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in OCCUPANCY.items())} END AS occupancy_status FROM vp""",
+        "latitude longitude speed",
+    ),
+    "append_by_day": ("SELECT ts::DATE AS day, (2 * count(*))::BIGINT AS row_count, count(DISTINCT vehicle_id)::BIGINT AS vehicles FROM vp GROUP BY 1", ""),
+    "manifest_merge": (
+        """SELECT 'vehicle_positions' AS dataset, 'o/' || o_orderkey AS object_uri,
+          CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'archived' ELSE 'failed' END AS status, TIMESTAMP '2024-01-01' AS created_at,
+          CASE WHEN o_orderstatus = 'F' THEN TIMESTAMP '2024-01-01 00:01:00' ELSE TIMESTAMP '2024-01-01' END AS updated_at FROM orders""",
+        "",
+    ),
+    "cell_boundary": (
+        f"""SELECT cell, {_cell("lat", "lon", 6)} AS parent, 7::INT AS points, round(lon - {WIDE}, 7) AS lon_min, round(lat - {TALL}, 7) AS lat_min,
+          round(lon + {WIDE}, 7) AS lon_max, round(lat + {TALL}, 7) AS lat_max
+        FROM (SELECT cell, {_centre("cell")[0]} AS lat, {_centre("cell")[1]} AS lon FROM cells)""",
+        "lon_min lat_min lon_max lat_max",
+    ),
+    "cell_disk": (
+        """SELECT '8:' || (split_part(cell, ':', 2)::BIGINT + i) || ':' || (split_part(cell, ':', 3)::BIGINT + j) AS cell, count(*)::BIGINT AS near
+        FROM cells, range(-2, 3) AS u(i), range(-2, 3) AS w(j) WHERE abs(i + j) <= 2 GROUP BY 1""",
+        "",
+    ),
+    "osm_roads": (
+        f"""SELECT p_partkey::VARCHAR AS edge_id, p_brand AS name, {list(DRIVEN)}[(p_partkey % {len(DRIVEN) + 2} + 1)::INT] AS highway, round(length_m, 1) AS length_m
+        FROM roads WHERE p_partkey % {len(DRIVEN) + 2} < {len(DRIVEN)} AND lat <= {SOUTH}::DOUBLE + 0.00325::DOUBLE""",
+        "length_m",
+    ),
+    "shape_road_strict": (
+        f"""SELECT 'N' || (p_partkey % 25) AS shape_id, p_partkey::VARCHAR AS edge_id, p_brand AS road_name,
+          {list(DRIVEN)}[(p_partkey % {len(DRIVEN) + 2} + 1)::INT] AS highway, round(length_m, 1) AS overlap_m, 1.0::DOUBLE AS overlap_ratio
+        FROM roads WHERE p_partkey % {len(DRIVEN) + 2} < {len(DRIVEN)} AND near AND p_size % 7 > 0""",
+        "overlap_m overlap_ratio",
+    ),
+    "unmatched_roads": ("SELECT p_partkey::VARCHAR AS edge_id FROM roads WHERE NOT (near AND p_size % 7 > 0)", ""),
+    "edge_statistics": (
+        """SELECT count(*)::BIGINT AS trips, min(n)::BIGINT AS min_edges, avg(n) AS avg_edges, max(n)::BIGINT AS max_edges, median(n)::DOUBLE AS median_edges,
+          (SELECT count(*) FROM shape_edges)::BIGINT AS shape_edge_rows, (SELECT count(DISTINCT shape_id) FROM shape_edges)::BIGINT AS shapes,
+          (SELECT count(*) / count(DISTINCT shape_id) FROM shape_edges) AS avg_edges_per_shape FROM edge_counts""",
+        "avg_edges median_edges avg_edges_per_shape",
+    ),
+    "recent_positions": (
+        """SELECT record_id, vehicle_id, ts AS timestamp FROM vp
+        WHERE ts > (SELECT max(ts) FROM vp) - INTERVAL 36 HOUR AND occupancy_status NOT IN ('error', 'logout')""",
+        "",
+    ),
+    "date_slice": ("SELECT * FROM grid_hour WHERE service_date = (SELECT max(service_date) FROM grid_hour)", "avg_speed_kmh"),
 }
 
 

@@ -17,6 +17,7 @@ from fleetlens.functions import geometry
 from fleetlens.operators import conform, spatial, upsert
 from fleetlens.plans import adapters as a
 from fleetlens.plans import models as m
+from fleetlens.plans import rounds as r
 from fleetlens.plans import serving as s
 from fleetlens.session import shared_path
 
@@ -166,6 +167,17 @@ BUILDERS: dict[str, Callable[[Views], DataFrame]] = {
         "o_orderkey", conform.record_id("o_orderkey", "o_custkey", "o_orderstatus").alias("record_id")
     ),
     "upsert_result": Views.upserted,
+    "realtime_round_trip": lambda v: v._of(r.realtime_round_trip),
+    "append_by_day": lambda v: v._of(r.append_by_day),
+    "manifest_merge": lambda v: v._of(r.manifest_merge),
+    "cell_boundary": lambda v: v._of(r.cell_boundary),
+    "cell_disk": lambda v: v._of(r.cell_disk),
+    "osm_roads": lambda v: v._of(r.osm_roads),
+    "shape_road_strict": lambda v: v._of(r.shape_road_strict),
+    "unmatched_roads": lambda v: v._of(r.unmatched_roads),
+    "edge_statistics": lambda v: r.edge_statistics(v.bridge, v._of(a.shape_edges)),
+    "recent_positions": lambda v: r.recent_positions(v.positions),
+    "date_slice": lambda v: r.date_slice(v.grid_hour),
 }
 
 
