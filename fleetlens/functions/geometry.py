@@ -74,67 +74,86 @@ def _metres(line, lat0: float, lon0: float) -> np.ndarray:
     return np.column_stack([(xy[:, 0] - lon0) * k * np.cos(np.radians(lat0)), (xy[:, 1] - lat0) * k])
 
 
-def _inside(p: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray, r: float) -> tuple[float, float] | None:
-    """The part of the segment p-q, as a range of 0..1, that lies within r of the segment a-b. The set is convex."""
-    found = []
-
-    def roots(c2: float, c1: float, c0: float, low: float, high: float) -> None:
-        """Where c2 t^2 + c1 t + c0 <= 0 within low..high."""
-        if high < low:
-            return
-        if c2 < 1e-12:
-            if abs(c1) < 1e-12:
-                if c0 <= 0:
-                    found.append((low, high))
-                return
-            t = -c0 / c1
-            s, e = (low, min(high, t)) if c1 > 0 else (max(low, t), high)
-        else:
-            d = c1 * c1 - 4 * c2 * c0
-            if d < 0:
-                return
-            s, e = max(low, (-c1 - d**0.5) / (2 * c2)), min(high, (-c1 + d**0.5) / (2 * c2))
-        if s <= e:
-            found.append((s, e))
-
-    u, v = q - p, b - a
-    for end in (a, b):  # the round ends
+#: Pairs of segments that are measured at a time.
+PAIRS = 1 << 16
+
+
+def _within(c2, c1, c0, low, high) -> tuple[np.ndarray, np.ndarray]:
+    """Where c2 t^2 + c1 t + c0 <= 0 within low..high, for arrays; from 1 to 0 where nowhere. c2 is not negative."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        root = np.sqrt(np.maximum(c1 * c1 - 4 * c2 * c0, 0))
+        at = -c0 / c1
+        flat, level = c2 < 1e-12, np.abs(c1) < 1e-12
+        start = np.where(flat, np.where(level | (c1 > 0), low, np.maximum(low, at)), np.maximum(low, (-c1 - root) / (2 * c2)))
+        end = np.where(flat, np.where(level | (c1 < 0), high, np.minimum(high, at)), np.minimum(high, (-c1 + root) / (2 * c2)))
+    none = np.where(flat, level & (c0 > 0), c1 * c1 < 4 * c2 * c0) | ~(start <= end)
+    return np.where(none, 1.0, start), np.where(none, 0.0, end)
+
+
+def _near_parts(p: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray, r: float) -> tuple[np.ndarray, np.ndarray]:
+    """The part of each segment p-q, as a range of 0..1, that lies within r of each segment a-b, as matrices; from 1 to 0
+    where none does. The set is convex, so that the ranges for the round ends and the band between them are one."""
+    p, u = p[:, None, :], (q - p)[:, None, :]
+    a, v = a[None, :, :], (b - a)[None, :, :]
+    dot = lambda x, y: (x * y).sum(axis=2)
+    uu, vv = dot(u, u), dot(v, v)
+    first, last = np.full(np.broadcast_shapes(uu.shape, vv.shape), 2.0), np.full(np.broadcast_shapes(uu.shape, vv.shape), -1.0)
+
+    def take(start: np.ndarray, end: np.ndarray) -> None:
+        some = start <= end
+        first[some], last[some] = np.minimum(first, start)[some], np.maximum(last, end)[some]
+
+    for end in (a, a + v):  # the round ends
         w = p - end
-        roots(float(u @ u), float(2 * (u @ w)), float(w @ w) - r * r, 0.0, 1.0)
-    vv = float(v @ v)
-    if vv > 0:  # the band between them
-        f0, f1 = float((p - a) @ v) / vv, float(u @ v) / vv
-        low, high = 0.0, 1.0
-        if abs(f1) < 1e-12:
-            if not 0 <= f0 <= 1:
-                low, high = 1.0, 0.0
-        else:
-            t0, t1 = sorted(((0 - f0) / f1, (1 - f0) / f1))
-            low, high = max(low, t0), min(high, t1)
-        w0, w1 = (p - a) - f0 * v, u - f1 * v
-        roots(float(w1 @ w1), float(2 * (w1 @ w0)), float(w0 @ w0) - r * r, low, high)
-    return (min(s for s, _ in found), max(e for _, e in found)) if found else None
+        take(*_within(uu + 0 * vv, 2 * dot(u, w), dot(w, w) - r * r, 0.0, 1.0))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        f0, f1 = dot(p - a, v) / vv, dot(u + 0 * v, v) / vv
+        lean = np.abs(f1) >= 1e-12
+        t0, t1 = -f0 / f1, (1 - f0) / f1
+        low = np.where(lean, np.maximum(0, np.minimum(t0, t1)), np.where((f0 >= 0) & (f0 <= 1), 0.0, 1.0))
+        high = np.where(lean, np.minimum(1, np.maximum(t0, t1)), np.where((f0 >= 0) & (f0 <= 1), 1.0, 0.0))
+        w0, w1 = (p - a) - f0[..., None] * v, u - f1[..., None] * v
+        start, end = _within(dot(w1, w1), 2 * dot(w1, w0), dot(w0, w0) - r * r, low, high)
+    band = (vv > 0) & (low <= high)
+    take(np.where(band, start, 1.0), np.where(band, end, 0.0))
+    return np.where(last >= first, first, 1.0), np.where(last >= first, last, 0.0)
+
+
+def _segments(line, other) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    lat0, lon0 = line[0]["lat"], line[0]["lon"]
+    a, b = _metres(line, lat0, lon0), _metres(other, lat0, lon0)
+    return (a[:-1], a[1:], b[:-1], b[1:]) if len(b) > 1 else (a[:-1], a[1:], b, b)
 
 
 def overlap(line, other, r: float) -> float:
     """Metres of line that lie within r metres of other."""
     if line is None or other is None or len(line) < 2 or len(other) < 1:
         return 0.0
-    lat0, lon0 = line[0]["lat"], line[0]["lon"]
-    a, b = _metres(line, lat0, lon0), _metres(other, lat0, lon0)
-    ends = list(zip(b, b[1:])) or [(b[0], b[0])]
-    total = 0.0
-    for p, q in zip(a, a[1:]):
-        parts = sorted(x for x in (_inside(p, q, s, e, r) for s, e in ends) if x)
-        at, covered = 0.0, 0.0
-        for s, e in parts:
-            if e > at:
-                covered += e - max(s, at)
-                at = e
-        total += covered * float(np.hypot(*(q - p)))
+    p, q, a, b = _segments(line, other)
+    total, step = 0.0, max(1, PAIRS // len(a))
+    for k in range(0, len(p), step):
+        start, end = _near_parts(p[k : k + step], q[k : k + step], a, b, r)
+        order = np.argsort(start, axis=1)
+        start, end = np.take_along_axis(start, order, 1), np.take_along_axis(end, order, 1)
+        before = np.maximum.accumulate(np.concatenate([np.zeros((len(end), 1)), end[:, :-1]], axis=1), axis=1)
+        covered = np.maximum(0, end - np.maximum(start, before)).sum(axis=1)
+        total += float(covered @ np.hypot(*(q[k : k + step] - p[k : k + step]).T))
     return total
 
 
+def near(line, other, r: float) -> bool | None:
+    """Whether two lines come within r metres of each other; null if one is null or empty."""
+    if line is None or other is None or not len(line) or not len(other):
+        return None
+    p, q, a, b = _segments(line if len(line) > 1 else [line[0], line[0]], other)
+    step = max(1, PAIRS // len(a))
+    for k in range(0, len(p), step):
+        start, end = _near_parts(p[k : k + step], q[k : k + step], a, b, r)
+        if (start <= end).any():
+            return True
+    return False
+
+
 def simplify(line, tolerance: float):
     """Douglas-Peucker: no dropped point is farther than the tolerance (metres) from what stays."""
     if line is None or len(line) < 3:
@@ -165,6 +184,16 @@ def overlap_m(line: Column, other: Column, r: float) -> Column:
     return run(line, other)
 
 
+def within_m(line: Column, other: Column, r: float) -> Column:
+    """Whether two lines come within r metres of each other."""
+
+    @F.pandas_udf("boolean")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([near(x, y, r) for x, y in zip(a, b)], dtype=object)
+
+    return run(line, other)
+
+
 def simplified(line: Column, tolerance: float) -> Column:
     @F.pandas_udf(f"array<{POINT}>")
     def run(a: pd.Series) -> pd.Series:

@@ -27,6 +27,13 @@ def tiles(bounds: Column, side: float = TILE) -> Column:
     )
 
 
+def _dealt(lines: DataFrame, key: str, margin_m: float) -> DataFrame:
+    """(key, tile): the tiles that the segments of lines(key, line) touch, with a margin around them."""
+    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.size("line") - 1, F.lit(1))), lambda i: F.slice("line", i, 2))
+    bounds = g.widened(g.box(F.col("piece")), margin_m)
+    return lines.where(F.size("line") > 0).select(key, F.explode(pieces).alias("piece")).select(key, F.explode(tiles(bounds)).alias("tile")).distinct()
+
+
 def osm_roads(ways: DataFrame, lon_min: float, lat_min: float, lon_max: float, lat_max: float, kinds=DRIVEN) -> DataFrame:
     """Roads of ways(id, tags array<struct<key,value>>, geometry wkt) within bounds, with their tags as columns."""
     area = F.struct(*[F.lit(v).alias(n) for n, v in (("lon_min", lon_min), ("lat_min", lat_min), ("lon_max", lon_max), ("lat_max", lat_max))])
@@ -50,22 +57,15 @@ def match_shapes(
     """(shape_id, edge_id, edge_length_m, overlap_m, overlap_ratio) of shapes(shape_id, line) and roads(edge_id, length_m,
     line).
 
-    Both sides are dealt out to tiles and joined on them; bounds are compared next, and only then lengths within
-    buffer_m of the shape. simplify_m thins the shapes first, as the strict variant does.
+    The segments of both sides are dealt out to tiles, ids only, and joined on them; the lines of the pairs found are
+    fetched, their bounds compared, and only then lengths within buffer_m of the shape, which is less than margin_m.
+    simplify_m thins the shapes first, as the strict variant does.
     """
     thin = shapes if simplify_m is None else shapes.withColumn("line", g.simplified(F.col("line"), simplify_m))
-    left = thin.withColumn("bounds", g.widened(g.box(F.col("line")), margin_m)).select(
-        "shape_id", F.col("line").alias("shape_line"), F.col("bounds").alias("shape_bounds"), F.explode(tiles(F.col("bounds"))).alias("tile")
-    )
-    right = roads.withColumn("bounds", g.box(F.col("line"))).select(
-        "edge_id", "length_m", F.col("line").alias("edge_line"), F.col("bounds").alias("edge_bounds"), F.explode(tiles(F.col("bounds"))).alias("tile")
-    )
-    # a pair that shares several tiles is taken in the first of them
-    first = F.struct(
-        F.greatest(F.floor(F.col("shape_bounds.lon_min") / TILE), F.floor(F.col("edge_bounds.lon_min") / TILE)).cast("int").alias("x"),
-        F.greatest(F.floor(F.col("shape_bounds.lat_min") / TILE), F.floor(F.col("edge_bounds.lat_min") / TILE)).cast("int").alias("y"),
-    )
-    near = left.join(right, "tile").where(g.boxes_meet(F.col("shape_bounds"), F.col("edge_bounds")) & (F.col("tile") == first))
+    pairs = _dealt(thin, "shape_id", margin_m).join(_dealt(roads, "edge_id", 0.0), "tile").select("shape_id", "edge_id").distinct()
+    left = thin.select("shape_id", F.col("line").alias("shape_line"), g.widened(g.box(F.col("line")), margin_m).alias("shape_bounds"))
+    right = roads.select("edge_id", "length_m", F.col("line").alias("edge_line"), g.box(F.col("line")).alias("edge_bounds"))
+    near = pairs.join(left, "shape_id").join(right, "edge_id").where(g.boxes_meet(F.col("shape_bounds"), F.col("edge_bounds")))
     measured = near.withColumn("overlap_m", g.overlap_m(F.col("edge_line"), F.col("shape_line"), buffer_m))
     return measured.where((F.col("overlap_m") > least_m) & (F.col("overlap_m") >= least_share * F.col("length_m"))).select(
         "shape_id", "edge_id", F.col("length_m").alias("edge_length_m"), "overlap_m", ratio("overlap_m", "length_m").alias("overlap_ratio")

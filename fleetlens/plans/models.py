@@ -307,8 +307,11 @@ def fct_vehicle_position(
     order = Window.partitionBy("vehicle_id").orderBy("timestamp", "record_id")
     day = Window.partitionBy("vehicle_id", "service_date")
     last = F.lag(F.struct("timestamp", "latitude", "longitude")).over(order)
-    base = positions.join(routes.select("route_id", "route_type", "route_mode"), "route_id", "left").join(
-        trips.select("trip_id", "direction_id"), "trip_id", "left"
+    routed = positions.join(routes.select("route_id", "route_type", "route_mode"), "route_id", "left")
+    # pings without a trip find none, and are spread instead of meeting in one task
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("record_id"), F.lit(512)).cast("string"))
+    base = routed.withColumn("__trip", F.coalesce("trip_id", spread)).join(
+        trips.select(F.col("trip_id").alias("__trip"), "direction_id"), "__trip", "left"
     )
     return (
         base.crossJoin(F.broadcast(region.limit(1).select("timezone", "svc_boundary_hour", "region_prefix")))  # one row

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import contracts
 from fleetlens.functions import geometry as g
+from fleetlens.functions.grid import HexGrid
 from fleetlens.operators import conform, spatial, upsert
 from fleetlens.sources import landing, realtime, static
 from fleetlens.streaming import ingest
@@ -155,6 +156,18 @@ def test_overlap(a, b, want):
     assert abs(g.overlap(a, b, 6.0) - want) < 0.05
 
 
+def test_near():
+    a = line((0, 0), (100, 0))
+    assert g.near(a, line((50, 5), (50, 90)), 6.0) and not g.near(a, line((50, 7), (50, 90)), 6.0)
+    assert g.near(line((0, 0)), line((3, 4)), 5.01) and not g.near(line((0, 0)), line((3, 4)), 4.99) and g.near(a, None, 5.0) is None
+
+
+def test_cells_of_a_disk(spark):
+    got = spark.range(1).select(HexGrid().disk(F.lit("8:5:-3"), 100).alias("d"), HexGrid().disk(F.lit("8:5:-3"), 1).alias("one")).first()
+    assert len(set(got.d)) == len(got.d) == 30_301
+    assert set(got.one) == {"8:5:-3", "8:6:-3", "8:4:-3", "8:5:-2", "8:5:-4", "8:6:-4", "8:4:-2"}
+
+
 def test_simplify():
     assert len(g.simplify(line((0, 0), (50, 2), (100, 0)), 7.0)) == 2
     assert len(g.simplify(line((0, 0), (50, 20), (100, 0)), 7.0)) == 3
