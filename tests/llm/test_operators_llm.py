@@ -760,3 +760,39 @@ def test_rules_are_filed_under_their_rarest_token():
     rule = urlfilter.Rule("||example.com/en/7", "allow")
     assert rule.tokens() == {"example", "com", "en"}
     assert list(urlfilter.filed([rule], {"com": 9, "example": 2, "en": 5})) == ["example"] and list(urlfilter.filed([urlfilter.Rule("a*b", "block")], {})) == [""]
+
+
+# ids ----------------------------------------------------------------------------------------------------------------
+
+
+def test_null_and_repeated_ids_keep_their_rows(spark):
+    draw = np.random.default_rng(21)
+    texts = [prose(draw, 80) for _ in range(12)] + ["", None, "all rights reserved"]
+    ids = [None, None, 1, 1, 2, 2, 3, 4, 5, 6, 7, 8, None, 9, 9]
+    docs = docs_of(spark, texts, ids=ids)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (5, 0), (None, 1), (4, 1), (4, 0)], "doc_id long, quality int")
+    found = {
+        "4": licenses.scan(docs), "5": ranking.quality_scores(docs, labels), "6": passages.classes(docs),
+        "7": langid.predictions(docs, langid.train(docs, least=1)), "10": forest.judged(docs, labels, 100),
+    }
+    for name, df in found.items():
+        assert Counter(r.doc_id for r in df.collect()) == Counter(ids), name
+    held = {"5": found["5"], "7": found["7"]}
+    assert all(not r.held_out for df in held.values() for r in df.where("doc_id is null").collect())
+    assert {r.class_id for r in found["6"].where("doc_id is null").collect()} == {None}
+
+
+def test_repeated_ids_are_one_document_for_leaks(spark):
+    item = "the quick brown fox jumps over the lazy dog and runs away again"
+    words = item.split()
+    docs = docs_of(spark, [" ".join(words[:8]), " ".join(words[4:]), item, "x"], ids=[1, 1, None, None])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {(r.doc_id, r.n_windows) for r in decontam.leaks(docs, bench).collect()} == {(1, 9), (None, 9)}
+
+
+def test_null_and_repeated_pages(spark):
+    rows = [(None, "http://a.com/en/1"), (None, None), (5, "http://b.net/de/"), (5, "http://b.net/de/"), (6, "http://x.org/spam")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    base, extra = [urlfilter.Rule("||com/en/", "block")], [urlfilter.Rule("^spam^", "block")]
+    got = Counter((r.page_id, r.rule, r.verdict) for r in urlfilter.judge(pages, base, extra).collect())
+    assert got == {(None, "com/en/", "block"): 1, (None, None, "allow"): 1, (5, None, "allow"): 2, (6, None, "block"): 1}

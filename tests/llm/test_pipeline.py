@@ -38,3 +38,20 @@ def test_pipeline(spark, folder):
     assert len(kept[15].split()) == 90 and len(kept[14].split()) == 150
     run = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in run} == seen["mixture"] and all(r.taken <= 3 * r.size for r in run)
+
+
+def test_empty_tables_and_extra_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, ranges int, h string, node long, tokens string, key long"
+    draw = np.random.default_rng(2)
+    texts = [" ".join("".join(draw.choice(list("abcdefgh"), 6)) for _ in range(70)) for _ in range(6)]
+    rows = [(k, t, "en", None, len(t), 1, "x", 2, "t", 3) for k, t in enumerate([*texts, texts[0]])]
+    for name, some in (("empty", []), ("wide", rows)):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(some, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for stage, run in corpus_pipeline.STAGES:
+            out = run(spark, docs, folder)
+            assert out.columns == docs.columns or stage == "mixture"
+            docs = out
+        assert docs.count() == (0 if name == "empty" else 6)
