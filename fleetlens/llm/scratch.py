@@ -2,34 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_ROWS = 500
-
+from fleetlens.session import shared_path
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Where that is unset, a temporary one in local mode, as in tests; on a
-    cluster that raises, as executors don't share such a folder."""
-    try:
-        named = spark.conf.get("spark.checkpoint.dir")
-    except Exception:  # the key has no default in this release
-        named = None
-    named = named or spark.sparkContext.getCheckpointDir()
-    if not named:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="fleetlens-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+BATCH_ROWS = 500
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; see shared_path()."""
+    return shared_path(spark, name)
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
@@ -81,6 +64,11 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a small table that become many, dealt to as many tasks as a shuffle has."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def bounded_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
     """At most so many rows: those with the smallest hashes of their keys, the same in every run.
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm.graph import connected_components
 from fleetlens.llm.groups import crowded, numbered, sampled, untried
-from fleetlens.llm.scratch import Tables, keep, small_batches
+from fleetlens.llm.scratch import Tables, keep, small_batches, spread
 from fleetlens.llm.shingles import WordHashes, mixed, shingle_set, similarity
 
 SEED = 42
@@ -138,7 +138,7 @@ def near_duplicates(
     """
     rows = keep(fingerprints(docs, words, id_col=id_col, text_col=text_col), "fingerprints")
     classes = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    parts = connected_components(links(classes.select("fp"), max_bits))
+    parts = connected_components(links(spread(classes.select("fp"), "fp"), max_bits))
     with_part = classes.join(parts, classes.fp == parts.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
@@ -273,7 +273,7 @@ def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep
     classes = prints.groupBy("content").agg(F.min(F.struct("id", "h")).alias("lead"), F.min("sketch").alias("sketch")).orderBy("lead")
     classes = keep(classes.select("lead.*", "sketch", F.monotonically_increasing_id().alias("node")), "classes")
     known = classes.where("sketch is not null").select("node", "sketch")
-    members = keep(numbered(_wide_keys(known), "k", "node", crowded(_wide_keys(known.where(sampled("node"))), "k", keep), keep=keep), "members")
+    members = keep(numbered(_wide_keys(spread(known, "node")), "k", "node", crowded(_wide_keys(known.where(sampled("node"))), "k", keep), keep=keep), "members")
     leaders = members.where("node > least").select("node", F.col("least").alias("other")).distinct()
     near = keep(_close(leaders, known, MOST_DIFFERENT), "near")
 
