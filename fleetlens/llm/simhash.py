@@ -254,9 +254,10 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY, *, id_col: str = "do
     smallest id, then md5, stays; n counts the rows that are equal in both. Rows without an id take no part.
 
     Candidates are texts with a segment of their sketches in common, up to one bit out of its BLANKED least certain
-    ones, whose sketches differ in at most MOST_DIFFERENT bits. Each text is compared with the smallest of its
-    candidates, then with those of other groups that lead a bucket; texts without a link with all smaller ones of
-    their buckets, some and then more at a time. Texts without a word are copies of each other only.
+    ones, whose sketches differ in at most MOST_DIFFERENT bits. Of the texts that lead its buckets each text is compared
+    with the one that it meets most often, and with the smallest if that is in another group; texts without a link with
+    all that lead their buckets, then with all smaller ones there, some and then more at a time. Texts without a word
+    are copies of each other only.
     """
     with Tables() as tables:
         return keep(_near_copies(docs, least, id_col, text_col, tables.keep), "copies")
@@ -274,8 +275,12 @@ def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep
     classes = keep(classes.select("lead.*", "sketch", F.monotonically_increasing_id().alias("node")), "classes")
     known = classes.where("sketch is not null").select("node", "sketch")
     members = keep(numbered(_wide_keys(spread(known, "node")), "k", "node", crowded(_wide_keys(known.where(sampled("node"))), "k", keep), keep=keep), "members")
-    leaders = members.where("node > least").select("node", F.col("least").alias("other")).distinct()
-    near = keep(_close(leaders, known, MOST_DIFFERENT), "near")
+    # of the leaders of a text's buckets that which it meets most often, and the smallest
+    met = members.where("node > least").groupBy("node", F.col("least").alias("other")).agg(F.count("*").alias("n"))
+    leaders = keep(met, "leaders")
+    ends = leaders.groupBy("node").agg(F.max_by("other", F.struct("n", -F.col("other"))).alias("best"), F.min("other").alias("other"))
+    ends = keep(ends, "ends")
+    best = keep(_close(ends.select("node", F.col("best").alias("other")), known, MOST_DIFFERENT), "best")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         needed = pairs.select("node").union(pairs.select("other")).distinct()
@@ -287,15 +292,17 @@ def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep
             once = once.unionByName(found.where("n > 1").select("node", "text").dropDuplicates(["node"]))
         return keep(once, "texts")
 
-    tried = keep(near.groupBy("node").agg(F.min("other").alias("other")), "pairs")
-    texts = texts_of(near)
-    links = keep(_similar(tried, texts, least), "links")
+    tried, links = best, keep(_similar(best, texts_of(best), least), "links")
     parts = _parts(links)
     of = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part"))
-    apart = near.join(tried, ["node", "other"], "left_anti").join(of("node"), "node", "left").join(of("other"), "other", "left")
-    more = keep(apart.where("coalesce(node_part, node) <> coalesce(other_part, other)").select("node", "other"), "pairs")
+    # texts without a link yet meet all leaders of their buckets, the others the smallest if it is in another group
+    alone = leaders.select("node", "other").join(links.select("node").distinct(), "node", "left_anti")
+    apart = ends.where("other <> best").select("node", "other").join(of("node"), "node").join(of("other"), "other", "left")
+    apart = apart.where("node_part <> coalesce(other_part, other)").select("node", "other")
+    asked = alone.unionByName(apart).distinct().join(tried, ["node", "other"], "left_anti")
+    more = keep(_close(asked, known, MOST_DIFFERENT), "pairs")
     if not more.isEmpty():
-        tried, links = tried.unionByName(more), keep(links.unionByName(_similar(more, texts, least)), "links")
+        tried, links = tried.unionByName(more), keep(links.unionByName(_similar(more, texts_of(more), least)), "links")
     first, step, open_ = 1, 9, members
     while True:
         open_ = keep(open_.where(untried(first)).join(links.select("node").distinct(), "node", "left_anti"), "open")
