@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import decontam, forest, langid, licenses, mixing, passages, ranking, simhash, urlfilter, warc
+from fleetlens.llm import (
+    bitslice, decontam, forest, langid, licenses, mixing, passages, ranking, simhash, spelling, turns, urlfilter, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -219,6 +221,32 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id ASC NULLS LAST) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op13_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repaired(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
     return {
         "op1_decontamination": op1_decontamination,
@@ -231,8 +259,11 @@ def queries() -> dict:
         "op8_simhash": op8_simhash,
         "op9_url_rules": op9_url_rules,
         "op10_rules": op10_rules,
+        "op11_spelling": op11_spelling,
+        "op12_top_k": op12_top_k,
+        "op13_turns": op13_turns,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op3_mixing": OP3_SQL, "op9_url_rules": OP9_SQL}
+    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op3_mixing": OP3_SQL, "op9_url_rules": OP9_SQL, "op12_top_k": OP12_SQL}
