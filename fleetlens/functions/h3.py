@@ -64,7 +64,7 @@ EPS = 1e-9
 
 def scale(resolution: int) -> complex:
     """What a plane's points are multiplied with to give lattice points."""
-    return 7 ** (resolution / 2) * np.exp(-1j * TURN * (resolution % 2))
+    return complex(7 ** (resolution / 2) * np.exp(-1j * TURN * (resolution % 2)))
 
 
 def frame(face: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -512,6 +512,6 @@ def _centres(cells: pd.Series) -> pd.DataFrame:
 def _outlines(cells: pd.Series) -> pd.Series:
     def polygon(c: str) -> str:
         lat, lon = outline(int(c, 16))
-        return "POLYGON((" + ", ".join(f"{x:.9f} {y:.9f}" for x, y in zip([*lon, lon[0]], [*lat, lat[0]])) + "))"
+        return "POLYGON((" + ", ".join(f"{x:.12f} {y:.12f}" for x, y in zip([*lon, lon[0]], [*lat, lat[0]])) + "))"
 
     return cells.map(lambda c: polygon(c) if c else None)

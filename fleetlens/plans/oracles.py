@@ -8,6 +8,7 @@ from fleetlens.contracts import OCCUPANCY
 from fleetlens.functions.grid import EDGE_0, STEP
 from fleetlens.functions.scalars import EARTH_M, ROUTE_MODES
 from fleetlens.operators.spatial import DRIVEN
+from fleetlens.plans import hexagon_oracles
 from fleetlens.plans.adapters import SOUTH, TYPES, WEST
 from fleetlens.plans.registry import DIGITS, NUDGE, QUERY_GAP_S, QUERY_MOVE_M
 
@@ -538,9 +539,11 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {}
-    for name, (select, doubles) in SELECTS.items():
+    out, cells = {}, hexagon_oracles.views(hexagon_oracles.COARSE, hexagon_oracles.FINE)
+    known = [(name, "", select, doubles) for name, (select, doubles) in SELECTS.items()]
+    known += [(name, f", {cells}{', ' if more else ''}{more}", select, doubles) for name, (more, select, doubles) in hexagon_oracles.SELECTS.items()]
+    for name, more, select, doubles in known:
         rounded = ", ".join(f"round({c} + {NUDGE!r}::DOUBLE, {DIGITS}) AS {c}" for c in doubles.split())
         replaced = f" REPLACE ({rounded})" if rounded else ""
-        out[name] = f"{VIEWS} SELECT *{replaced} FROM ({select})"
+        out[name] = f"{VIEWS}{more} SELECT *{replaced} FROM ({select})"
     return out

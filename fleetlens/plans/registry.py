@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from fleetlens.functions import geometry
 from fleetlens.operators import conform, spatial, upsert
 from fleetlens.plans import adapters as a
+from fleetlens.plans import hexagons as h
 from fleetlens.plans import models as m
 from fleetlens.plans import rounds as r
 from fleetlens.plans import serving as s
@@ -178,6 +179,11 @@ BUILDERS: dict[str, Callable[[Views], DataFrame]] = {
     "edge_statistics": lambda v: r.edge_statistics(v.bridge, v._of(a.shape_edges)),
     "recent_positions": lambda v: r.recent_positions(v.positions),
     "date_slice": lambda v: r.date_slice(v.grid_hour),
+    "h3_cells": lambda v: v._of(h.h3_cells),
+    "h3_boundary": lambda v: v._of(h.h3_boundary),
+    "h3_disk": lambda v: v._of(h.h3_disk),
+    "agg_position_h3_day": lambda v: h.agg_position_h3_day(v.vehicle),
+    "agg_speed_h3_hour": lambda v: h.agg_speed_h3_hour(v.vehicle),
 }
 
 
