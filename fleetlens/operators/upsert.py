@@ -5,23 +5,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DAY = "dt"
 
 
+def latest(batch: DataFrame, keys: Sequence[str], *tie: Column) -> DataFrame:
+    """Of rows with one key the last updated; rows with a null in their key are all kept."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("updated_at"), *tie)
+    first = batch.where(known).withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    return first.unionByName(batch.where(~known))
+
+
 def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str] = ("record_id",), time: str = "timestamp") -> DataFrame:
     """target with the batch merged into the days from the batch's first to its last.
 
     A batch row replaces the target row of its key on those days, keeping created_at; others are added. Batch rows
     without a time are left out. Target rows of other days stay, even with a key that the batch has. Of batch rows with
-    one key the last updated counts.
+    one key the last updated counts. A null in a key equals nothing, so batch rows with one are added, each of them.
     """
     keys = list(keys)
     timed = batch.where(F.col(time).isNotNull())
-    latest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("updated_at"), F.desc(time))
-    fresh = timed.withColumn("__n", F.row_number().over(latest)).where("__n = 1").drop("__n")
+    fresh = latest(timed, keys, F.desc(time))
     span = timed.agg(F.to_date(F.min(time)).alias("__from"), F.to_date(F.max(time)).alias("__to"))
     marked = target.crossJoin(F.broadcast(span))  # one row
     inside = F.coalesce(F.to_date(time).between(F.col("__from"), F.col("__to")), F.lit(False))
@@ -30,10 +37,12 @@ def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str] = ("record_i
         marked.where(inside).select(*target.columns, F.lit(0).alias("__new"))
         .unionByName(fresh.select(*target.columns, F.lit(1).alias("__new")))
     )
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     group = Window.partitionBy(*keys)
     made = F.coalesce(F.min(F.when(F.col("__new") == 0, F.col("created_at"))).over(group), F.col("created_at"))
-    kept = both.withColumn("__made", made).withColumn("__best", F.max("__new").over(group)).where("__new = __best")
-    return outside.unionByName(kept.withColumn("created_at", F.col("__made")).select(*target.columns))
+    kept = both.where(known).withColumn("__made", made).withColumn("__best", F.max("__new").over(group)).where("__new = __best")
+    kept = kept.withColumn("created_at", F.col("__made")).select(*target.columns)
+    return outside.unionByName(kept).unionByName(both.where(~known).select(*target.columns))
 
 
 def append(df: DataFrame, path: str, columns: Sequence[str], time: str = "timestamp") -> None:
@@ -60,9 +69,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     at = sc._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
     if not fs.exists(at):
-        latest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("updated_at"), F.desc(time))
-        fresh = batch.withColumn("__n", F.row_number().over(latest)).where("__n = 1").drop("__n")
-        clustered(fresh.withColumn(DAY, F.to_date(time))).write.partitionBy(DAY).parquet(path)
+        clustered(latest(batch, keys, F.desc(time)).withColumn(DAY, F.to_date(time))).write.partitionBy(DAY).parquet(path)
         return
     days = spark.read.parquet(path).where(F.col(DAY).between(F.lit(first), F.lit(last))).drop(DAY)
     staged = f"{path.rstrip('/')}__staged"
@@ -80,13 +87,13 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
 
 def merge_untimed(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Merge a batch into a small table without days, as a manifest or a curated table: a batch row replaces the stored
-    row of its keys, keeping created_at; others are added. Of batch rows with one key the last updated counts.
+    row of its keys, keeping created_at; others are added. Of batch rows with one key the last updated counts. A null in
+    a key equals nothing, so batch rows with one are added.
 
     The new table is written beside the old one, which it replaces by a rename, so that readers see either.
     """
     keys = list(keys)
-    latest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("updated_at"), F.xxhash64(*batch.columns))
-    fresh = batch.withColumn("__n", F.row_number().over(latest)).where("__n = 1").drop("__n")
+    fresh = latest(batch, keys, F.xxhash64(*batch.columns))
     sc = spark.sparkContext
     file = sc._jvm.org.apache.hadoop.fs.Path
     fs = file(path).getFileSystem(sc._jsc.hadoopConfiguration())
@@ -96,7 +103,7 @@ def merge_untimed(spark: SparkSession, batch: DataFrame, path: str, keys: Sequen
     if fs.exists(file(path)):
         stored = spark.read.parquet(path)
         old = stored.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("created_at").alias("__made"))
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys])
         updated = fresh.join(old, same, "left").withColumn("created_at", F.coalesce("__made", "created_at")).select(*stored.columns)
         gone = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys])
         fresh = stored.join(gone, same, "left_anti").unionByName(updated)

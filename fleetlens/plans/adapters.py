@@ -158,20 +158,35 @@ def service_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    """Four services: two on working days, one at weekends, one that has ended."""
-    rows = [("S0", 1, 0, 20240101, 20241231), ("S1", 1, 0, 20240101, 20241231), ("S2", 0, 1, 20240101, 20241231), ("S3", 1, 1, 20230101, 20231231)]
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Services of trips: S0 and S1 on working days, S2 at weekends, S3 has ended; and one of each supplier, of which
+    some run at weekends only, and some have ended."""
+    k = F.col("c_custkey") % 4
+    own = table(spark, sf_dir, "customer").select(k.alias("k")).distinct().select(
+        F.concat(F.lit("S"), F.col("k").cast("string")).alias("service_id"), (F.col("k") != 2).alias("work"), (F.col("k") == 3).alias("ended")
+    )
+    s = F.col("s_suppkey")
+    others = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("P"), s.cast("string")).alias("service_id"), (s % 3 != 0).alias("work"), (s % 4 == 3).alias("ended")
+    )
     days = ["monday", "tuesday", "wednesday", "thursday", "friday"]
-    df = spark.createDataFrame(rows, "service_id string, work long, rest long, start_date long, end_date long")
-    return df.select(
-        "service_id", *[F.col("work").alias(d) for d in days], F.col("rest").alias("saturday"), F.col("rest").alias("sunday"),
-        "start_date", "end_date", F.lit("AFRICA").alias("feed_hash"),
+    year = F.when(F.col("ended"), 20230000).otherwise(20240000).cast("long")
+    return own.unionByName(others).select(
+        "service_id", *[F.col("work").cast("long").alias(d) for d in days], *[(~F.col("work")).cast("long").alias(d) for d in ("saturday", "sunday")],
+        (year + 101).alias("start_date"), (year + 1231).alias("end_date"), F.lit("AFRICA").alias("feed_hash"),
     )
 
 
-def calendar_dates(spark: SparkSession) -> DataFrame:
-    rows = [("S1", 20240102, 2), ("S2", 20240102, 1), ("S3", 20240103, 1)]
-    return spark.createDataFrame(rows, "service_id string, date long, exception_type long").withColumn("feed_hash", F.lit("AFRICA"))
+def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On 2 January S1 and every fifth supplier's service do not run, S2 and every fifth one's do; S3 runs a day later."""
+    at = lambda df, name, date, kind: df.select(name.alias("service_id"), F.lit(date).cast("long").alias("date"), kind.cast("long").alias("exception_type"))
+    k = F.col("c_custkey") % 4
+    own = table(spark, sf_dir, "customer").select(k.alias("k")).distinct().where("k > 0")
+    trips = at(own, F.concat(F.lit("S"), F.col("k").cast("string")), 20240102, F.when(F.col("k") == 1, 2).otherwise(1))
+    trips = trips.withColumn("date", F.when(F.col("service_id") == "S3", 20240103).otherwise(F.col("date")).cast("long"))
+    s = F.col("s_suppkey")
+    others = at(table(spark, sf_dir, "supplier").where((s % 5).isin(1, 2)), F.concat(F.lit("P"), s.cast("string")), 20240102, F.when(s % 5 == 1, 2).otherwise(1))
+    return trips.unionByName(others).withColumn("feed_hash", F.lit("AFRICA"))
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.functions import rolling
+from fleetlens.functions import carry, rolling
 from fleetlens.functions.grid import Grid, HexGrid
 from fleetlens.functions.scalars import (
     at_least_zero, clock_to_utc, distance_m, local_time, ratio, route_mode, seconds_between, service_date,
@@ -298,15 +298,15 @@ def fct_trip_segment(events: DataFrame, positions: DataFrame) -> DataFrame:
 
 def fct_vehicle_position(
     positions: DataFrame, routes: DataFrame, trips: DataFrame, region: DataFrame,
-    least_s: int = UNMONITORED_S, least_m: float = UNMONITORED_M, speed_factor: float = 1.0,
+    least_s: int = UNMONITORED_S, least_m: float = UNMONITORED_M, speed_factor: float = 1.0, earlier: DataFrame | None = None,
 ) -> DataFrame:
     """One row for each ping: what passed since the vehicle's last, and whether it moved without being seen.
 
-    speed_factor scales the reported speed; 3.6 for metres a second.
+    speed_factor scales the reported speed; 3.6 for metres a second. earlier has the last pings of days before those of
+    positions, as carry.ends() gives them.
     """
-    order = Window.partitionBy("vehicle_id").orderBy("timestamp", "record_id")
     day = Window.partitionBy("vehicle_id", "service_date")
-    last = F.lag(F.struct("timestamp", "latitude", "longitude")).over(order)
+    positions = carry.neighbour(positions, "vehicle_id", "timestamp", "record_id", ("timestamp", "latitude", "longitude"), "last", known=earlier)
     routed = positions.join(routes.select("route_id", "route_type", "route_mode"), "route_id", "left")
     # pings without a trip find none, and are spread instead of meeting in one task
     spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("record_id"), F.lit(512)).cast("string"))
@@ -315,7 +315,6 @@ def fct_vehicle_position(
     )
     return (
         base.crossJoin(F.broadcast(region.limit(1).select("timezone", "svc_boundary_hour", "region_prefix")))  # one row
-        .withColumn("last", last)
         .withColumn("update_interval_seconds", seconds_between("timestamp", "last.timestamp"))
         .withColumn("position_delta_m", distance_m("latitude", "longitude", "last.latitude", "last.longitude"))
         .withColumn("prev_timestamp_utc", F.col("last.timestamp"))
@@ -433,11 +432,10 @@ def v2_fct_vehicle_segment(
     positions: DataFrame, gap_s: int = GAP_S, moved_m: float = MOVED_M, fastest_kmh: float = FASTEST_KMH
 ) -> DataFrame:
     """One row for each ping and the vehicle's next; doubtful ones are flagged, not dropped."""
-    order = Window.partitionBy("vehicle_id").orderBy("timestamp_utc", "record_id")
-    after = F.lead(F.struct("timestamp_utc", "datetime_local", "latitude", "longitude", "cell")).over(order)
+    fields = ("timestamp_utc", "datetime_local", "latitude", "longitude", "cell")
     gap, moved = F.col("delta_seconds") > gap_s, F.coalesce(F.col("distance_m") > moved_m, F.lit(False))
     return (
-        positions.withColumn("after", after)
+        carry.neighbour(positions, "vehicle_id", "timestamp_utc", "record_id", fields, "after", after=True)
         .where("after is not null")
         .withColumn("delta_seconds", seconds_between("after.timestamp_utc", "timestamp_utc"))
         .withColumn("distance_m", distance_m("latitude", "longitude", "after.latitude", "after.longitude"))

@@ -284,7 +284,9 @@ WITH vp AS (
     quantile_disc(x, 0.85) AS p85_speed_kmh, quantile_disc(x, 0.95) AS p95_speed_kmh, max(x) AS max_speed_kmh
   FROM v2_vehicle_route GROUP BY ALL
 ), services AS (
-  SELECT * FROM (VALUES ('AFRICA', 'S0'), ('AFRICA', 'S2')) AS x(feed_hash, service_id)
+  SELECT DISTINCT 'AFRICA' AS feed_hash, 'S' || c_custkey % 4 AS service_id FROM customer WHERE c_custkey % 4 IN (0, 2)
+  UNION ALL SELECT 'AFRICA', 'P' || s_suppkey FROM supplier
+  WHERE (s_suppkey % 3 <> 0 AND s_suppkey % 4 <> 3 OR s_suppkey % 5 = 2) AND s_suppkey % 5 <> 1
 ), kpis AS (
   SELECT rt_timestamp::DATE AS day, count(*) FILTER (abs({LATE}) <= 300) / nullif(count({LATE}), 0) AS on_time_share, count(DISTINCT trip_id)::BIGINT AS trips,
     count(DISTINCT trip_id) FILTER (schedule_relationship IN ('CANCELED', '3'))::BIGINT AS canceled_trips, avg({LATE}) AS avg_delay_seconds,
@@ -493,6 +495,23 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
           CASE record_id::BIGINT % 9 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in OCCUPANCY.items())} END AS occupancy_status FROM vp""",
         "latitude longitude speed",
     ),
+    "protobuf_round_trip": (
+        """SELECT DISTINCT vehicle_id, trip_id, route_id, ts AS timestamp, round_even(latitude::FLOAT::DOUBLE, 6) AS latitude,
+          round_even(longitude::FLOAT::DOUBLE, 6) AS longitude, round_even(speed::FLOAT::DOUBLE, 2) AS speed FROM vp""",
+        "latitude longitude speed",
+    ),
+    "updates_round_trip": (
+        """SELECT record_id, trip_id, start_date, stop_id, stop_sequence, vehicle_id, schedule_relationship, epoch(rt_timestamp)::BIGINT AS timestamp_s,
+          epoch(actual_arrival)::BIGINT AS actual_arrival_s, arrival_delay, arrival_uncertainty, epoch(actual_departure)::BIGINT AS actual_departure_s,
+          departure_delay, departure_uncertainty FROM updates""",
+        "",
+    ),
+    "alerts_round_trip": (
+        """SELECT alert_id, epoch(period_start)::BIGINT AS period_start_s, epoch(period_end)::BIGINT AS period_end_s, 'R' || alert_id::BIGINT % 10 AS route_id,
+          'alert ' || alert_id AS header, (1 + alert_id::BIGINT % 3)::VARCHAR AS cause FROM alerts""",
+        "",
+    ),
+    "static_members": ("SELECT p_partkey::VARCHAR AS stop_id, p_name AS stop_name, p_size::VARCHAR AS stop_code, (p_partkey % 8)::BIGINT AS archive, 2::BIGINT AS tables FROM part", ""),
     "append_by_day": ("SELECT ts::DATE AS day, (2 * count(*))::BIGINT AS row_count, count(DISTINCT vehicle_id)::BIGINT AS vehicles FROM vp GROUP BY 1", ""),
     "manifest_merge": (
         """SELECT 'vehicle_positions' AS dataset, 'o/' || o_orderkey AS object_uri,

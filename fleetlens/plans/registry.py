@@ -58,7 +58,7 @@ class Views:
     v2_segment = cached_property(lambda v: m.v2_fct_vehicle_segment(v.v2_position, QUERY_GAP_S, QUERY_MOVE_M, 1.0))
     v2_grid_hour = cached_property(lambda v: m.v2_agg_speed_grid_hour(v.v2_position, v.trips))
     v2_route_hour = cached_property(lambda v: m.v2_agg_speed_route_hour(v.v2_position, v.trips))
-    services = cached_property(lambda v: m.active_services(a.calendar(v.spark), a.calendar_dates(v.spark), 20240102, "tuesday"))
+    services = cached_property(lambda v: m.active_services(v._of(a.calendar), v._of(a.calendar_dates), 20240102, "tuesday"))
     bridge = cached_property(lambda v: s.trip_edges(v._of(a.shape_edges), v._of(a.trips)))
 
     def daily_schedule(self) -> DataFrame:
@@ -169,6 +169,10 @@ BUILDERS: dict[str, Callable[[Views], DataFrame]] = {
     ),
     "upsert_result": Views.upserted,
     "realtime_round_trip": lambda v: v._of(r.realtime_round_trip),
+    "protobuf_round_trip": lambda v: v._of(r.protobuf_round_trip),
+    "updates_round_trip": lambda v: v._of(r.updates_round_trip),
+    "alerts_round_trip": lambda v: v._of(r.alerts_round_trip),
+    "static_members": lambda v: v._of(r.static_members),
     "append_by_day": lambda v: v._of(r.append_by_day),
     "manifest_merge": lambda v: v._of(r.manifest_merge),
     "cell_boundary": lambda v: v._of(r.cell_boundary),

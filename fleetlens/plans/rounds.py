@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,28 +18,121 @@ from fleetlens.functions.scalars import ratio
 from fleetlens.operators import conform, spatial, upsert
 from fleetlens.plans import adapters as a
 from fleetlens.session import shared_path
-from fleetlens.sources import realtime
+from fleetlens.sources import realtime, static, wire
 
 GRID = HexGrid()
 CELL, COARSE, STEPS = 8, 6, 2
 
 
-def realtime_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every position as a JSON document, many documents in a file, read and conformed."""
+FILES = 16
+
+
+def _position_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity) of each position, in the shape of the public feeds."""
     at = F.struct(F.col("latitude"), F.col("longitude"), F.col("speed"))
-    trip = F.struct(F.col("trip_id").alias("tripId"), F.col("route_id").alias("routeId"))
+    trip = F.struct("trip_id", "route_id")
     vehicle = F.struct(
         F.struct(F.col("vehicle_id").alias("id")).alias("vehicle"), at.alias("position"), trip.alias("trip"),
-        (F.col("record_id").cast("long") % 9).cast("string").alias("occupancyStatus"), F.unix_timestamp("timestamp").alias("timestamp"),
+        (F.col("record_id").cast("long") % 9).alias("occupancy_status"), F.unix_timestamp("timestamp").alias("timestamp"),
     )
-    entity = F.array(F.struct(F.col("record_id").alias("id"), vehicle.alias("vehicle")))
+    return a.vehicle_positions(spark, sf_dir).select(F.struct(F.col("record_id").alias("id"), vehicle.alias("vehicle")).alias("entity"))
+
+
+def realtime_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every position as a JSON document, many documents in each of several files, read and conformed."""
     path = shared_path(spark, "documents")
-    a.vehicle_positions(spark, sf_dir).select(F.to_json(F.struct(entity.alias("entity"))).alias("value")).write.option("compression", "gzip").text(path)
+    found = _position_entities(spark, sf_dir).select(F.to_json(F.struct(F.array("entity").alias("entity"))).alias("value"))
+    found.repartition(FILES).write.option("compression", "gzip").text(path)
     read = realtime.vehicle_positions(realtime.tolerant(spark, path))
     rows = conform.conform(read, contracts.contract("stg_vehicle_positions"))
     return rows.select("vehicle_id", "trip_id", "route_id", "timestamp", "timestamp_s", "latitude", "longitude", "speed", "occupancy_status")
 
 
+def _messages(entities: DataFrame) -> DataFrame:
+    """entities(entity) as protobuf messages (content, file_modification_time, file_name), a batch of rows in each."""
+
+    def plain(x):
+        return {k: plain(v) for k, v in x.items() if v is not None} if isinstance(x, dict) else [plain(v) for v in x] if isinstance(x, list) else x
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            header = {"gtfs_realtime_version": "2.0", "timestamp": 1704067200}
+            message = wire.encode({"header": header, "entity": [plain(e) for e in b.column(0).to_pylist()]}, "FeedMessage")
+            yield pa.RecordBatch.from_arrays([pa.array([message], pa.binary())], names=["content"])
+
+    spark = entities.sparkSession
+    path = shared_path(spark, "messages")
+    entities.mapInArrow(run, "content binary").write.parquet(path)
+    stored = spark.read.parquet(path)
+    return stored.select("content", F.timestamp_seconds(F.lit(1704067200)).alias("file_modification_time"), F.lit("feed.pb").alias("file_name"))
+
+
+def _of_messages(messages: DataFrame) -> DataFrame:
+    found = realtime.parsed(messages, "protobuf").where("error is null")
+    return realtime.entities(found.select("d.*", "file_modification_time", "file_name"))
+
+
+def protobuf_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every position in protobuf messages, decoded and conformed; coordinates are single precision there."""
+    read = realtime.vehicle_positions(_of_messages(_messages(_position_entities(spark, sf_dir))))
+    rows = conform.conform(read, contracts.contract("stg_vehicle_positions"))
+    return rows.select("vehicle_id", "trip_id", "route_id", "timestamp", "latitude", "longitude", "speed")
+
+
+def updates_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trip update as a JSON document of a line, with names in camel case, read by Spark's own reader."""
+    event = lambda kind: F.struct(
+        F.unix_timestamp(f"actual_{kind}").alias("time"), F.col(f"{kind}_delay").alias("delay"), F.col(f"{kind}_uncertainty").alias("uncertainty")
+    )
+    stop = F.struct(F.col("stop_id").alias("stopId"), F.col("stop_sequence").alias("stopSequence"), *[event(k).alias(k) for k in ("arrival", "departure")])
+    trip = F.struct(F.col("trip_id").alias("tripId"), F.col("start_date").alias("startDate"), F.col("schedule_relationship").alias("scheduleRelationship"))
+    # the record's number travels in the label
+    vehicle = F.struct(F.col("vehicle_id").alias("id"), F.col("record_id").alias("label"))
+    update = F.struct(trip.alias("trip"), vehicle.alias("vehicle"), F.unix_timestamp("rt_timestamp").alias("timestamp"), F.array(stop).alias("stopTimeUpdate"))
+    entity = F.struct(F.col("record_id").alias("id"), update.alias("tripUpdate"))
+    path = shared_path(spark, "updates")
+    a.trip_updates(spark, sf_dir).select(F.to_json(F.struct(F.struct(F.array(entity).alias("entity")).alias("response"))).alias("value")).write.text(path)
+    good = realtime.lines(spark, path).where("error is null").select("d.*", "file_modification_time", "file_name")
+    read = realtime.trip_updates(realtime.entities(good))
+    return read.select(
+        F.col("vehicle_label").alias("record_id"), "trip_id", "start_date", "stop_id", "stop_sequence", "vehicle_id", "schedule_relationship", "timestamp_s",
+        "actual_arrival_s", "arrival_delay", "arrival_uncertainty", "actual_departure_s", "departure_delay", "departure_uncertainty",
+    )
+
+
+def alerts_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every service alert in protobuf messages."""
+    period = F.struct(F.unix_timestamp("period_start").alias("start"), F.unix_timestamp("period_end").alias("end"))
+    number = F.col("alert_id").cast("long")
+    subject = F.struct(F.concat(F.lit("R"), (number % 10).cast("string")).alias("route_id"))
+    header = F.struct(F.array(F.struct(F.concat(F.lit("alert "), "alert_id").alias("text"))).alias("translation"))
+    alert = F.struct(F.array(period).alias("active_period"), F.array(subject).alias("informed_entity"), (1 + number % 3).alias("cause"), header.alias("header_text"))
+    entities = a.service_alerts(spark, sf_dir).select(F.struct(F.col("alert_id").alias("id"), alert.alias("alert")).alias("entity"))
+    read = realtime.service_alerts(_of_messages(_messages(entities)))
+    return read.select("alert_id", "period_start_s", "period_end_s", "route_id", "header", "cause")
+
+
+def static_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops in timetable archives of two members each, and how many tables a stop's archive has."""
+    stops = a.stops(spark, sf_dir).select("stop_id", "stop_name", "stop_code", (F.col("stop_id").cast("long") % 8).alias("archive"))
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("feed/stops.txt", rows[["stop_id", "stop_name", "stop_code"]].to_csv(index=False))
+            z.writestr("feed/agency.txt", f"agency_id,agency_name\n{rows['archive'].iloc[0]},Agency\n")
+        return pd.DataFrame({"content": [out.getvalue()]})
+
+    path = shared_path(spark, "archives")
+    stops.groupBy("archive").applyInPandas(pack, "content binary").write.parquet(path)
+    found = spark.read.parquet(path).select(F.md5("content").alias("feed_hash"), "content", F.timestamp_seconds(F.lit(1704067200)).alias("updated_at"))
+    tables = static.tables(found)
+    read = static.table(tables, "stops", "stop_id string, stop_name string, stop_code string")
+    agency = static.table(tables, "agency", "agency_id string").select("feed_hash", F.col("agency_id").cast("long").alias("archive"))
+    counts = tables.where("error is null").groupBy("feed_hash").agg(F.countDistinct("table").alias("tables"))
+    return read.join(agency, "feed_hash").join(counts, "feed_hash").select("stop_id", "stop_name", "stop_code", "archive", "tables")
+
+
 def append_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All positions appended twice to a table by day; rows and vehicles of each day."""
     path = shared_path(spark, "appended")

@@ -41,12 +41,3 @@ def checked_day(day: str) -> str:
 def ask(spark: SparkSession, sql: str, parameters: Mapping[str, object], **views: DataFrame) -> DataFrame:
     """A SQL query over named frames with :named parameters, which are values and never become SQL."""
     return spark.sql(sql, args=dict(parameters), **views)
-
-
-def decoded(raw: DataFrame, message: str, descriptor: bytes) -> DataFrame:
-    """Protobuf feeds (column value), where the cluster has Spark's protobuf package."""
-    try:
-        from pyspark.sql.protobuf.functions import from_protobuf
-    except ImportError as e:
-        raise RuntimeError("Protobuf feeds need the spark-protobuf package") from e
-    return raw.select(from_protobuf("value", message, binaryDescriptorSet=descriptor).alias("feed"), *[c for c in raw.columns if c != "value"])

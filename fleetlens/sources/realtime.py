@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import gzip
-import json
+import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.sources import wire
+
+#: Documents that a task passes on at a time.
+DOCUMENTS = 1_000
 TRIP = (
     "struct<trip_id:string,tripId:string,route_id:string,routeId:string,direction_id:bigint,directionId:bigint,start_date:string,"
     "startDate:string,start_time:string,startTime:string,schedule_relationship:string,scheduleRelationship:string>"
@@ -48,25 +53,102 @@ def entities(raw: DataFrame) -> DataFrame:
     return raw.select(F.explode(listed).alias("entity"), at.alias("created_at"), at.alias("updated_at"), F.col("file_name").alias("cache_blob"))
 
 
-def tolerant(spark: SparkSession, path: str) -> DataFrame:
-    """As documents(), for files whose name doesn't tell whether they are gzip, or that hold several documents."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = json.JSONDecoder()
-        for b in batches:
-            out = []
-            for content, at, name in zip(b["content"], b["modificationTime"], b["path"]):
-                data = bytes(content)
-                text = (gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data).decode("utf-8", "replace")
-                k = 0
-                while (k := len(text) - len(text[k:].lstrip())) < len(text):
-                    document, k = reader.raw_decode(text, k)
-                    out.append((json.dumps(document), at, name.rpartition("/")[2]))
-            yield pd.DataFrame(out, columns=["document", "file_modification_time", "file_name"])
-
-    files = spark.read.format("binaryFile").load(path).select("content", "modificationTime", "path")
-    texts = files.mapInPandas(run, "document string, file_modification_time timestamp, file_name string")
-    return entities(texts.select(F.from_json("document", DOCUMENT).alias("d"), "file_modification_time", "file_name").select("d.*", "file_modification_time", "file_name"))
+SPECIAL = re.compile(rb'["{}\[\]]')
+TEXT_END = re.compile(rb'(?:[^"\\]|\\.)*+"', re.S)
+SPACE = re.compile(rb"[\s\x1e]*+")
+
+
+def split_documents(data: bytes) -> Iterator[bytes]:
+    """The JSON documents that follow each other in a file, with or without white space between them.
+
+    Ends are found by the depth of brackets outside of texts, in one pass. What stands between documents, or is not
+    closed, comes as a piece of its own, which is no document.
+    """
+    at = 0
+    while (at := SPACE.match(data, at).end()) < len(data):
+        start, depth, at = at, 0, at
+        while True:
+            found = SPECIAL.search(data, at)
+            if found is None:
+                at = len(data)
+                break
+            kind, at = found.group(), found.end()
+            if kind == b'"':
+                end = TEXT_END.match(data, at)
+                at = end.end() if end else len(data)
+            elif kind in b"{[":
+                if depth == 0 and found.start() > start:  # something else stands before the document
+                    at = found.start()
+                    break
+                depth += 1
+            else:
+                depth -= 1
+                if depth <= 0:
+                    break
+        yield data[start:at]
+
+
+def _unpacked(data: bytes) -> bytes:
+    """A file's content, whatever its name says; one that only looks like gzip stays as it is."""
+    if data[:2] == b"\x1f\x8b":
+        try:
+            return gzip.decompress(data)
+        except (OSError, EOFError, zlib.error):
+            pass
+    return data
+
+
+def pieces(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    """(d, error, file_modification_time, file_name): every document of the files, and an error for what is none.
+
+    Files may be gzip whatever their names, and JSON files may hold any number of documents. kind is json or protobuf;
+    another raises. Files are spread over tasks; one is read as a whole, so compressed files should be small. For large
+    plain files with a document in each line there is lines(), which splits files.
+    """
+    if kind not in ("json", "protobuf"):
+        raise ValueError(f"not a format of realtime feeds: {kind!r}")
+    files = spark.read.format("binaryFile").load(path).select("content", F.col("modificationTime").alias("file_modification_time"), "path")
+    return parsed(files, kind).withColumn("file_name", F.element_at(F.split("path", "/"), -1)).drop("path")
+
+
+def parsed(files: DataFrame, kind: str = "json") -> DataFrame:
+    """files(content, ...) with (d, error) instead of the content."""
+    if kind == "protobuf":
+        texts = wire.documents(files)
+    else:
+        others = [c for c in files.columns if c != "content"]
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for content, *rest in zip(b["content"], *(b[c] for c in others)):
+                    found = [x.decode("utf-8", "replace") for x in split_documents(_unpacked(bytes(content)))]
+                    for k in range(0, len(found), DOCUMENTS):
+                        part = found[k : k + DOCUMENTS]
+                        yield pd.DataFrame({**{c: [x] * len(part) for c, x in zip(others, rest)}, "document": part, "error": None})
+
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields if f.name != "content")
+        texts = files.select(*others, "content").mapInPandas(run, f"{schema}, document string, error string")
+    d = F.from_json("document", f"{DOCUMENT}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    read = texts.withColumn("d", d).withColumn("error", F.coalesce("error", "d._corrupt"))
+    return read.drop("document").withColumn("d", F.when(F.col("error").isNull(), F.col("d").dropFields("_corrupt")))
+
+
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """As pieces(), for files with one document in each line: plain ones of any size are split."""
+    raw = spark.read.schema(f"{DOCUMENT}, error string").option("columnNameOfCorruptRecord", "error").json(path)
+    named = raw.select("*", "_metadata.file_modification_time", "_metadata.file_name")
+    return named.select(F.struct("response", "entity").alias("d"), "error", "file_modification_time", "file_name")
+
+
+def tolerant(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    """As documents(), for files whose name doesn't tell whether they are gzip, or that hold several documents, or
+    protobuf messages. What is no document is left out; rejected() has it."""
+    return entities(pieces(spark, path, kind).where("error is null").select("d.*", "file_modification_time", "file_name"))
+
+
+def rejected(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    """(file_name, error) of what is no document."""
+    return pieces(spark, path, kind).where("error is not null").select("file_name", "error")
 
 
 def _either(at: str, *names: str) -> Column:

@@ -6,7 +6,9 @@ import csv
 import hashlib
 import io
 import json
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,38 +29,76 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def tables(found: DataFrame) -> DataFrame:
-    """(feed_hash, updated_at, table, row, error): every row as a JSON object. A member that can't be read is one row
-    with its error; the others are kept."""
+MEMBER = "feed_hash string, updated_at timestamp, member string, method int, crc long, data binary, error string"
+
+
+def members(found: DataFrame) -> DataFrame:
+    """A row for each member of archives(): its bytes as they are stored, cut out by the archive's directory.
+
+    Nothing is decompressed here. An archive without a directory is one row with its error.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["feed_hash", "updated_at", "table", "row", "error"]
+        names = [f.split()[0] for f in MEMBER.split(", ")]
         for b in batches:
             for digest, content, at in zip(b["feed_hash"], b["content"], b["updated_at"]):
-                out = []
+                data = bytes(content)
                 try:
-                    pack = zipfile.ZipFile(io.BytesIO(bytes(content)))
-                except zipfile.BadZipFile as e:
-                    yield pd.DataFrame([(digest, at, None, None, str(e))], columns=names)
+                    listed = zipfile.ZipFile(io.BytesIO(data)).infolist()
+                except (zipfile.BadZipFile, ValueError) as e:
+                    yield pd.DataFrame([(digest, at, None, None, None, None, str(e))], columns=names)
+                    continue
+                for m in listed:
+                    if not m.is_dir():
+                        # the local header has lengths of its own name and extra field
+                        name, extra = struct.unpack("<HH", data[m.header_offset + 26 : m.header_offset + 30].ljust(4, b"\0"))
+                        start = m.header_offset + 30 + name + extra
+                        out = (digest, at, m.filename, m.compress_type, m.CRC, data[start : start + m.compress_size], None)
+                        yield pd.DataFrame([out], columns=names)
+
+    return found.select("feed_hash", "content", "updated_at").mapInPandas(run, MEMBER)
+
+
+def _unpacked(method: int, crc: int, data: bytes) -> bytes:
+    if method not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        raise ValueError(f"compression method {method}")
+    out = data if method == zipfile.ZIP_STORED else zlib.decompress(data, -15)
+    if zlib.crc32(out) != crc:
+        raise ValueError("a checksum differs")
+    return out
+
+
+def tables(found: DataFrame) -> DataFrame:
+    """(feed_hash, updated_at, table, row, error): every row as a JSON object. A member that can't be read is one row
+    with its error; the others are kept.
+
+    Members are dealt to tasks one by one, so a large one doesn't wait for the rest of its archive.
+    """
+    names = ["feed_hash", "updated_at", "table", "row", "error"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for digest, at, member, method, crc, data, error in b.itertuples(index=False):
+                if error is not None:
+                    yield pd.DataFrame([(digest, at, None, None, error)], columns=names)
                     continue
-                for member in pack.namelist():
-                    table = member.rpartition("/")[2].removesuffix(".txt").removesuffix(".csv")
-                    if member.endswith("/"):
-                        continue
-                    try:
-                        with io.TextIOWrapper(pack.open(member), encoding="utf-8-sig", newline="") as text:
-                            for row in csv.DictReader(text):
-                                kept = {k.strip(): v for k, v in row.items() if k and v not in (None, "")}
-                                out.append((digest, at, table, json.dumps(kept), None))
-                                if len(out) >= ROWS:
-                                    yield pd.DataFrame(out, columns=names)
-                                    out = []
-                    except (UnicodeDecodeError, csv.Error, zipfile.BadZipFile, EOFError) as e:
-                        out.append((digest, at, table, None, str(e)))
+                table, out = member.rpartition("/")[2].removesuffix(".txt").removesuffix(".csv"), []
+                try:
+                    text = io.TextIOWrapper(io.BytesIO(_unpacked(int(method), int(crc), bytes(data))), encoding="utf-8-sig", newline="")
+                    for row in csv.DictReader(text):
+                        kept = {k.strip(): v for k, v in row.items() if k and v not in (None, "")}
+                        out.append((digest, at, table, json.dumps(kept), None))
+                        if len(out) >= ROWS:
+                            yield pd.DataFrame(out, columns=names)
+                            out = []
+                except (ValueError, csv.Error, zlib.error) as e:
+                    out.append((digest, at, table, None, str(e)))
                 if out:
                     yield pd.DataFrame(out, columns=names)
 
-    return found.mapInPandas(run, "feed_hash string, updated_at timestamp, table string, row string, error string")
+    spark = found.sparkSession
+    dealt = members(found).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "feed_hash", "member")
+    return dealt.mapInPandas(run, "feed_hash string, updated_at timestamp, table string, row string, error string")
 
 
 def table(rows: DataFrame, name: str, ddl: str) -> DataFrame:
