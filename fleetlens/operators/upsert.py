@@ -87,13 +87,14 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
 
 def merge_untimed(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Merge a batch into a small table without days, as a manifest or a curated table: a batch row replaces the stored
-    row of its keys, keeping created_at; others are added. Of batch rows with one key the last updated counts. A null in
-    a key equals nothing, so batch rows with one are added.
+    row of its keys, keeping created_at; others are added. Of batch rows with one key the last updated counts. Nulls in
+    keys equal each other here: such tables name things, and a rerun must not add them again.
 
     The new table is written beside the old one, which it replaces by a rename, so that readers see either.
     """
     keys = list(keys)
-    fresh = latest(batch, keys, F.xxhash64(*batch.columns))
+    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("updated_at"), F.xxhash64(*batch.columns))
+    fresh = batch.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
     sc = spark.sparkContext
     file = sc._jvm.org.apache.hadoop.fs.Path
     fs = file(path).getFileSystem(sc._jsc.hadoopConfiguration())
@@ -103,7 +104,7 @@ def merge_untimed(spark: SparkSession, batch: DataFrame, path: str, keys: Sequen
     if fs.exists(file(path)):
         stored = spark.read.parquet(path)
         old = stored.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("created_at").alias("__made"))
-        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
         updated = fresh.join(old, same, "left").withColumn("created_at", F.coalesce("__made", "created_at")).select(*stored.columns)
         gone = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys])
         fresh = stored.join(gone, same, "left_anti").unionByName(updated)

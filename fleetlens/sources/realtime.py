@@ -128,6 +128,10 @@ def parsed(files: DataFrame, kind: str = "json") -> DataFrame:
 
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields if f.name != "content")
         texts = files.select(*others, "content").mapInPandas(run, f"{schema}, document string, error string")
+    return _read(texts)
+
+
+def _read(texts: DataFrame) -> DataFrame:
     d = F.from_json("document", f"{DOCUMENT}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
     read = texts.withColumn("d", d).withColumn("error", F.coalesce("error", "d._corrupt"))
     return read.drop("document").withColumn("d", F.when(F.col("error").isNull(), F.col("d").dropFields("_corrupt")))
@@ -135,9 +139,8 @@ def parsed(files: DataFrame, kind: str = "json") -> DataFrame:
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """As pieces(), for files with one document in each line: plain ones of any size are split."""
-    raw = spark.read.schema(f"{DOCUMENT}, error string").option("columnNameOfCorruptRecord", "error").json(path)
-    named = raw.select("*", "_metadata.file_modification_time", "_metadata.file_name")
-    return named.select(F.struct("response", "entity").alias("d"), "error", "file_modification_time", "file_name")
+    texts = spark.read.text(path).select(F.col("value").alias("document"), "_metadata.file_modification_time", "_metadata.file_name")
+    return _read(texts.where(r"document rlike '\\S'").withColumn("error", F.lit(None).cast("string")))
 
 
 def tolerant(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
