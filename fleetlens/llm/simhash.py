@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.graph import connected_components
-from fleetlens.llm.groups import crowded, numbered, sampled, untried
+from fleetlens.llm.groups import crowded, numbered, sampled
 from fleetlens.llm.scratch import Tables, keep, small_batches, spread
 from fleetlens.llm.shingles import WordHashes, mixed, shingle_set, similarity
 
@@ -254,10 +254,10 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY, *, id_col: str = "do
     smallest id, then md5, stays; n counts the rows that are equal in both. Rows without an id take no part.
 
     Candidates are texts with a segment of their sketches in common, up to one bit out of its BLANKED least certain
-    ones, whose sketches differ in at most MOST_DIFFERENT bits. Of the texts that lead its buckets each text is compared
-    with the one that it meets most often, and with the smallest if that is in another group; texts without a link with
-    all that lead their buckets, then with all smaller ones there, some and then more at a time. Texts without a word
-    are copies of each other only.
+    ones, whose sketches differ in at most MOST_DIFFERENT bits. Each text is compared with two that lead its buckets:
+    that which it meets most often, and the smallest. Then, as long as links come up, each text with the smallest text
+    of every other group in its buckets; so a group of copies makes few pairs, whatever its size, and no group that a
+    bucket holds is passed over. Texts without a word are copies of each other only.
     """
     with Tables() as tables:
         return keep(_near_copies(docs, least, id_col, text_col, tables.keep), "copies")
@@ -277,10 +277,11 @@ def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep
     members = keep(numbered(_wide_keys(spread(known, "node")), "k", "node", crowded(_wide_keys(known.where(sampled("node"))), "k", keep), keep=keep), "members")
     # of the leaders of a text's buckets that which it meets most often, and the smallest
     met = members.where("node > least").groupBy("node", F.col("least").alias("other")).agg(F.count("*").alias("n"))
-    leaders = keep(met, "leaders")
-    ends = leaders.groupBy("node").agg(F.max_by("other", F.struct("n", -F.col("other"))).alias("best"), F.min("other").alias("other"))
+    ends = met.groupBy("node").agg(F.max_by("other", F.struct("n", -F.col("other"))).alias("best"), F.min("other").alias("other"))
     ends = keep(ends, "ends")
-    best = keep(_close(ends.select("node", F.col("best").alias("other")), known, MOST_DIFFERENT), "best")
+    both = ends.select("node", F.explode(F.array_distinct(F.array("best", "other"))).alias("other"))
+    tried = keep(both, "asked")
+    best = keep(_close(tried, known, MOST_DIFFERENT), "best")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         needed = pairs.select("node").union(pairs.select("other")).distinct()
@@ -292,28 +293,26 @@ def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep
             once = once.unionByName(found.where("n > 1").select("node", "text").dropDuplicates(["node"]))
         return keep(once, "texts")
 
-    tried, links = best, keep(_similar(best, texts_of(best), least), "links")
-    parts = _parts(links)
-    of = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part"))
-    # texts without a link yet meet all leaders of their buckets, the others the smallest if it is in another group
-    alone = leaders.select("node", "other").join(links.select("node").distinct(), "node", "left_anti")
-    apart = ends.where("other <> best").select("node", "other").join(of("node"), "node").join(of("other"), "other", "left")
-    apart = apart.where("node_part <> coalesce(other_part, other)").select("node", "other")
-    asked = alone.unionByName(apart).distinct().join(tried, ["node", "other"], "left_anti")
-    more = keep(_close(asked, known, MOST_DIFFERENT), "pairs")
-    if not more.isEmpty():
-        tried, links = tried.unionByName(more), keep(links.unionByName(_similar(more, texts_of(more), least)), "links")
-    first, step, open_ = 1, 9, members
+    links = keep(_similar(best, texts_of(best), least), "links")
+    # groups that a bucket holds are tried against each other, by their smallest texts there, until no two join
+    open_ = members.select("k", "node")
     while True:
-        open_ = keep(open_.where(untried(first)).join(links.select("node").distinct(), "node", "left_anti"), "open")
-        if open_.isEmpty():
+        parts = _parts(links).select(F.col("node").alias("member"), F.col("component").alias("part"))
+        known_as = open_.join(parts, F.col("node") == F.col("member"), "left").select("k", "node", F.coalesce("part", "node").alias("part"))
+        named_as = keep(known_as, "grouped")
+        several = named_as.groupBy("k").agg(F.min("part").alias("one"), F.max("part").alias("another")).where("one < another").select("k")
+        open_ = keep(named_as.join(keep(several, "several"), "k", "left_semi"), "open")
+        leads = keep(open_.groupBy("k", "part").agg(F.min("node").alias("lead")), "leads")
+        met = open_.join(leads.select("k", F.col("part").alias("theirs"), "lead"), "k").where("part <> theirs")
+        pairs = met.select(F.greatest("node", "lead").alias("node"), F.least("node", "lead").alias("other")).distinct()
+        fresh = keep(pairs.join(tried, ["node", "other"], "left_anti"), "asked")
+        close = keep(_close(fresh, known, MOST_DIFFERENT), "pairs")
+        if close.isEmpty():
             break
-        others = members.where(F.col("nth").between(first, first + step - 1)).select("k", F.col("node").alias("other"))
-        pairs = open_.join(others, "k").where("other < node and other > least").select("node", "other").distinct()
-        fresh = keep(_close(pairs.join(tried, ["node", "other"], "left_anti"), known, MOST_DIFFERENT), "pairs")
-        if not fresh.isEmpty():
-            tried, links = tried.unionByName(fresh), keep(links.unionByName(_similar(fresh, texts_of(fresh), least)), "links")
-        first, step = first + step, step * 8
+        found = keep(_similar(close, texts_of(close), least), "found")
+        if found.isEmpty():
+            break
+        tried, links, open_ = tried.unionByName(fresh), keep(links.unionByName(found), "links"), open_.select("k", "node")
     gone = _parts(links).where("node > component").select("node")
     stay = classes.join(gone, "node", "left_anti").select("id", "h", F.lit(True).alias("stays"))
     return rows.join(stay, ["id", "h"], "left").select("id", "h", "n", F.coalesce("stays", F.lit(False)).alias("stays"))
