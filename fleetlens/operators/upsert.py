@@ -124,3 +124,11 @@ def new_only(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFr
 def clustered_table(df: DataFrame, path: str, *by: str) -> None:
     """Replace a table, sorted by columns within ranges of them."""
     df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+
+
+def bucketed_table(df: DataFrame, name: str, path: str, *by: str, buckets: int = 16) -> None:
+    """Replace a table of the catalog, in buckets by columns and sorted by them in each: joins and sums by these columns,
+    with tables of as many buckets, need no shuffle. Rows are dealt to buckets before they are written, so that each
+    has one file."""
+    dealt = df.repartition(buckets, *by)
+    dealt.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *by).sortBy(*by).saveAsTable(name)

@@ -6,6 +6,7 @@ from __future__ import annotations
 import math
 
 from fleetlens.functions.h3 import DIGIT, FINEST, FRAMES, UNIT, scale, tables, turned_digits
+from fleetlens.functions.scalars import EARTH_M, ROUTE_MODES
 
 SQRT3 = f"{math.sqrt(3)!r}::DOUBLE"
 
@@ -115,6 +116,16 @@ SELECTS: dict[str, tuple[str, str, str]] = {  # name: (more tables, SQL, columns
         LEFT JOIN hex_fine h USING (latitude, longitude) LEFT JOIN hex_coarse c USING (latitude, longitude)""",
         "",
     ),
+    "sql_functions": (
+        "",
+        f"""SELECT record_id, h.cell, {PARENT.replace("cell", "h.cell")} AS parent, away AS distance_m,
+          CASE WHEN away IS NOT NULL THEN greatest(away - 5000, 0) END AS beyond_m, CASE record_id::BIGINT % 13 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in ROUTE_MODES.items())} END AS mode,
+          (speed - 50) / 50 AS change
+        FROM (SELECT *, 2.0 * {EARTH_M}::DOUBLE * asin(sqrt(pow(sin((radians(-36.85::DOUBLE) - radians(latitude)) / 2), 2)
+          + cos(radians(latitude)) * cos(radians(-36.85::DOUBLE)) * pow(sin((radians(174.76::DOUBLE) - radians(longitude)) / 2), 2))) AS away FROM vp)
+        LEFT JOIN hex_fine h USING (latitude, longitude)""",
+        "distance_m beyond_m change",
+    ),
     "h3_boundary": (
         outlines(COARSE),
         "SELECT cell, count(*)::INTEGER AS corners, min(lon) AS lon_min, min(lat) AS lat_min, max(lon) AS lon_max, max(lat) AS lat_max FROM hex_shape GROUP BY cell",

@@ -505,12 +505,12 @@ def v2_mdl_speed_route_hourly(speeds: DataFrame) -> DataFrame:
     return _against_mean(speeds, keys, "days", 28, "avg_speed_kmh_rolling", "pct_change_from_rolling")
 
 
-def rolling_deviation(days: DataFrame) -> DataFrame:
-    """Deviation and z-score against the last 28 rows."""
+def rolling_deviation(days: DataFrame, by: str = "rows") -> DataFrame:
+    """Deviation and z-score against the last 28 rows, or days."""
     keys = ["vehicle_id", "route_mode"]
     return (
-        days.withColumn("mean_m", rolling.rolling_mean("unmonitored_distance_m", keys))
-        .withColumn("stddev_m", rolling.rolling_stddev("unmonitored_distance_m", keys))
+        days.withColumn("mean_m", rolling.rolling_mean("unmonitored_distance_m", keys, by=by))
+        .withColumn("stddev_m", rolling.rolling_stddev("unmonitored_distance_m", keys, by=by))
         .withColumn("z", rolling.z_score("unmonitored_distance_m", "mean_m", "stddev_m"))
     )
 
@@ -518,10 +518,17 @@ def rolling_deviation(days: DataFrame) -> DataFrame:
 # hours of vehicles --------------------------------------------------------------------------------------------------
 
 
-def agg_vehicle_hour(segments: DataFrame) -> DataFrame:
-    """Metres, seconds and the speed that follows from their sums; segments that go nowhere in time are left out."""
+def clean_segments(segments: DataFrame, since: str | None = None) -> DataFrame:
+    """Segments without a doubtful flag, of service dates from `since` (yyyy-mm-dd) on, if it is given."""
+    good = segments.where("not flag_nonpositive_gap and not flag_implausible_speed and not is_gap")
+    return good.where(F.col("service_date") >= F.lit(since).cast("date")) if since else good
+
+
+def agg_vehicle_hour(segments: DataFrame, *more: str) -> DataFrame:
+    """Metres, seconds and the speed that follows from their sums; segments that go nowhere in time are left out. More
+    keys, as route_id or start_cell, tell a vehicle's hours apart by them."""
     moved = segments.where("not flag_nonpositive_gap and distance_m is not null")
-    return moved.groupBy("service_date", "hour_local", "vehicle_id").agg(
+    return moved.groupBy("service_date", "hour_local", "vehicle_id", *more).agg(
         F.count("*").alias("seg_cnt"), F.sum("distance_m").alias("distance_m"), F.sum("delta_seconds").alias("seconds"),
         ratio(F.sum("distance_m") * 3.6, F.nullif(F.sum("delta_seconds"), F.lit(0))).alias("speed_kmh"),
     )

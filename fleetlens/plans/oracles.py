@@ -11,6 +11,7 @@ from fleetlens.operators.spatial import DRIVEN
 from fleetlens.plans import hexagon_oracles
 from fleetlens.plans.adapters import SOUTH, TYPES, WEST
 from fleetlens.plans.registry import DIGITS, NUDGE, QUERY_GAP_S, QUERY_MOVE_M
+from fleetlens.plans.stores import DAY
 
 
 def _distance(a: str, b: str, c: str, d: str) -> str:
@@ -401,6 +402,12 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
         + _mean("vehicle_id, route_mode", "unmonitored_distance_m", fn="stddev_samp") + " AS stddev_m FROM vehicle_day)",
         "unmonitored_distance_m mean_m stddev_m z",
     ),
+    "rolling_stddev_days": (
+        "SELECT *, (unmonitored_distance_m - mean_m) / nullif(stddev_m, 0) AS z FROM (SELECT *, "
+        + _mean("vehicle_id, route_mode", "unmonitored_distance_m", DAYS) + " AS mean_m, "
+        + _mean("vehicle_id, route_mode", "unmonitored_distance_m", DAYS, "stddev_samp") + " AS stddev_m FROM vehicle_day)",
+        "unmonitored_distance_m mean_m stddev_m z",
+    ),
     "hourly_dashboard": (
         f"""SELECT h.hour_ts,
           (SELECT count(DISTINCT vehicle_id) FROM vp WHERE date_trunc('hour', ts) = h.hour_ts)::BIGINT AS active_vehicles,
@@ -435,6 +442,23 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
         FROM v2_segment WHERE NOT flag_nonpositive_gap AND distance_m IS NOT NULL GROUP BY ALL""",
         "distance_m speed_kmh",
     ),
+    "agg_vehicle_route_hour": (
+        """SELECT service_date, hour_local, vehicle_id, route_id, count(*)::BIGINT AS seg_cnt, sum(distance_m) AS distance_m, sum(delta_seconds)::BIGINT AS seconds,
+          sum(distance_m) * 3.6::DOUBLE / nullif(sum(delta_seconds), 0) AS speed_kmh
+        FROM v2_segment WHERE NOT flag_nonpositive_gap AND distance_m IS NOT NULL GROUP BY ALL""",
+        "distance_m speed_kmh",
+    ),
+    "agg_vehicle_cell_hour": (
+        """SELECT service_date, hour_local, vehicle_id, start_cell, count(*)::BIGINT AS seg_cnt, sum(distance_m) AS distance_m, sum(delta_seconds)::BIGINT AS seconds,
+          sum(distance_m) * 3.6::DOUBLE / nullif(sum(delta_seconds), 0) AS speed_kmh
+        FROM v2_segment WHERE NOT flag_nonpositive_gap AND distance_m IS NOT NULL GROUP BY ALL""",
+        "distance_m speed_kmh",
+    ),
+    "clean_segments": (
+        """SELECT segment_id, vehicle_id, service_date, delta_seconds FROM v2_segment
+        WHERE NOT flag_nonpositive_gap AND NOT flag_implausible_speed AND NOT is_gap AND service_date >= DATE '2024-01-10'""",
+        "",
+    ),
     "agg_vehicle_day": (
         """SELECT service_date, vehicle_id, count(*)::BIGINT AS seg_cnt, sum(distance_m) AS distance_m, sum(delta_seconds)::BIGINT AS seconds,
           sum(distance_m) * 3.6::DOUBLE / nullif(sum(delta_seconds), 0) AS speed_kmh
@@ -512,6 +536,45 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
         "",
     ),
     "static_members": ("SELECT p_partkey::VARCHAR AS stop_id, p_name AS stop_name, p_size::VARCHAR AS stop_code, (p_partkey % 8)::BIGINT AS archive, 2::BIGINT AS tables FROM part", ""),
+    "snapshot_difference": (
+        """SELECT 0::BIGINT AS batch, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0
+        UNION ALL SELECT 1::BIGINT, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 3 = 0""",
+        "",
+    ),
+    "archive_store": (
+        """SELECT md5(text) AS feed_hash, strlen(text)::BIGINT AS n_bytes, TIMESTAMP '2024-01-01' + to_minutes(k::INT) AS updated_at, k = max(k) OVER () AS is_latest
+        FROM (SELECT p_partkey % 8 AS k, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) AS text FROM part GROUP BY 1)""",
+        "",
+    ),
+    "quarantine_rejects": (
+        """SELECT concat_ws('; ', CASE WHEN trip_id IS NULL THEN 'trip_id is null' END, CASE WHEN latitude IS NULL THEN 'latitude is null' END) AS kind, count(*)::BIGINT AS n
+        FROM vp WHERE trip_id IS NULL OR latitude IS NULL GROUP BY 1
+        UNION ALL SELECT 'in clean files', coalesce(sum(n) FILTER (good), 0)::BIGINT
+        FROM (SELECT count(*) AS n, bool_and(trip_id IS NOT NULL AND latitude IS NOT NULL) AS good FROM vp GROUP BY record_id::BIGINT // 8)""",
+        "",
+    ),
+    "bucketed_join": (
+        "SELECT o_orderkey, o_orderstatus, count(*)::BIGINT AS n, sum(l_quantity) AS quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL",
+        "quantity",
+    ),
+    "flatten_orders": (
+        """SELECT o_orderkey AS order_key, o_orderstatus AS order_state_status, l_linenumber AS lines_number, l_quantity AS lines_price_quantity, l_tax AS lines_price_tax
+        FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 25) ON l_orderkey = o_orderkey""",
+        "lines_price_quantity lines_price_tax",
+    ),
+    "landed_hours": (
+        f"SELECT event_id, user_id, hour(ts)::INTEGER AS hour_utc FROM events WHERE ts::DATE = DATE '{DAY}' AND event_type <> 'error'",
+        "",
+    ),
+    "curated_merge": (
+        """SELECT vehicle_id, ts AS event_ts, record_id, longitude + CASE WHEN record_id::BIGINT % 3 = 0 THEN 1 ELSE 0 END AS lng, TIMESTAMP '2024-01-01' AS created_at,
+          CASE WHEN record_id::BIGINT % 3 = 0 THEN TIMESTAMP '2024-01-01 00:01:00' ELSE TIMESTAMP '2024-01-01' END AS updated_at FROM vp""",
+        "lng",
+    ),
+    "shape_statistics": (
+        "SELECT shape_id, count(*)::BIGINT AS edges, sum(overlap_m) AS total_m, median(overlap_m)::DOUBLE AS median_m FROM shape_edges GROUP BY 1", "total_m median_m",
+    ),
+    "near_roads": ("SELECT p_partkey::VARCHAR AS edge_id, 'N' || p_partkey % 25 AS shape_id FROM part WHERE p_partkey % 4 < 2", ""),
     "append_by_day": ("SELECT ts::DATE AS day, (2 * count(*))::BIGINT AS row_count, count(DISTINCT vehicle_id)::BIGINT AS vehicles FROM vp GROUP BY 1", ""),
     "manifest_merge": (
         """SELECT 'vehicle_positions' AS dataset, 'o/' || o_orderkey AS object_uri,
@@ -557,6 +620,13 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
 }
 
 
+SELECTS["schedule_head"] = (
+    f"""SELECT route_id, direction_id, trip_id, stop_sequence, stop_id, scheduled_departure FROM ({SELECTS["daily_schedule"][0]})
+    ORDER BY route_id NULLS FIRST, direction_id NULLS FIRST, trip_id NULLS FIRST, stop_sequence NULLS FIRST, stop_id NULLS FIRST LIMIT 500""",
+    "",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     out, cells = {}, hexagon_oracles.views(hexagon_oracles.COARSE, hexagon_oracles.FINE)
     known = [(name, "", select, doubles) for name, (select, doubles) in SELECTS.items()]

@@ -20,6 +20,7 @@ from fleetlens.plans import hexagons as h
 from fleetlens.plans import models as m
 from fleetlens.plans import rounds as r
 from fleetlens.plans import serving as s
+from fleetlens.plans import stores as t
 from fleetlens.session import shared_path
 
 ZONE = "Pacific/Auckland"
@@ -183,6 +184,21 @@ BUILDERS: dict[str, Callable[[Views], DataFrame]] = {
     "edge_statistics": lambda v: r.edge_statistics(v.bridge, v._of(a.shape_edges)),
     "recent_positions": lambda v: r.recent_positions(v.positions),
     "date_slice": lambda v: r.date_slice(v.grid_hour),
+    "snapshot_difference": lambda v: v._of(t.snapshot_difference),
+    "archive_store": lambda v: v._of(t.archive_store),
+    "quarantine_rejects": lambda v: v._of(t.quarantine_rejects),
+    "bucketed_join": lambda v: v._of(t.bucketed_join),
+    "sql_functions": lambda v: v._of(t.sql_functions),
+    "flatten_orders": lambda v: v._of(t.flatten_orders),
+    "landed_hours": lambda v: v._of(t.landed_hours),
+    "curated_merge": lambda v: v._of(t.curated_merge),
+    "shape_statistics": lambda v: t.shape_statistics(v._of(a.shape_edges)),
+    "schedule_head": lambda v: t.schedule_head(Views.daily_schedule(v)),
+    "near_roads": lambda v: v._of(t.near_roads),
+    "rolling_stddev_days": lambda v: m.rolling_deviation(v.vehicle_day, "days"),
+    "agg_vehicle_route_hour": lambda v: m.agg_vehicle_hour(v.v2_segment, "route_id"),
+    "agg_vehicle_cell_hour": lambda v: m.agg_vehicle_hour(v.v2_segment, "start_cell"),
+    "clean_segments": lambda v: m.clean_segments(v.v2_segment, "2024-01-10").select("segment_id", "vehicle_id", "service_date", "delta_seconds"),
     "h3_cells": lambda v: v._of(h.h3_cells),
     "h3_boundary": lambda v: v._of(h.h3_boundary),
     "h3_disk": lambda v: v._of(h.h3_disk),
