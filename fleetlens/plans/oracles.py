@@ -566,6 +566,21 @@ SELECTS: dict[str, tuple[str, str]] = {  # name: (SQL, columns of doubles)
         f"SELECT event_id, user_id, hour(ts)::INTEGER AS hour_utc FROM events WHERE ts::DATE = DATE '{DAY}' AND event_type <> 'error'",
         "",
     ),
+    "stream_ingest": (
+        """SELECT vehicle_id, ts AS timestamp, substr(md5(vehicle_id || chr(31) || coalesce(trip_id, '∅')), 1, 16) AS entity_id, 16 AS id_length, true AS stamped FROM vp""",
+        "",
+    ),
+    "mapped_fields": (
+        "SELECT o_orderkey::BIGINT AS order_id, o_orderstatus AS status, o_orderdate::TIMESTAMP AS placed, NULL::VARCHAR AS clerk FROM orders",
+        "",
+    ),
+    "declared_table": (
+        """SELECT p_partkey::VARCHAR AS stop_id, p_name AS stop_name, -36.5::DOUBLE AS stop_lat, p_partkey / 100.0::DOUBLE AS stop_lon, 'AFRICA' AS feed_hash,
+          NULL::VARCHAR AS zone_id FROM part""",
+        "stop_lat stop_lon",
+    ),
+    "compacted_files": ("SELECT event_type, count(*)::BIGINT AS n, sum(value) AS total, true AS fewer_files FROM events GROUP BY 1", "total"),
+    "clustered_edges": ("SELECT edge_id, count(*)::BIGINT AS n FROM bridge WHERE edge_id BETWEEN 'E1' AND 'E2' GROUP BY 1", ""),
     "curated_merge": (
         """SELECT vehicle_id, ts AS event_ts, record_id, longitude + CASE WHEN record_id::BIGINT % 3 = 0 THEN 1 ELSE 0 END AS lng, TIMESTAMP '2024-01-01' AS created_at,
           CASE WHEN record_id::BIGINT % 3 = 0 THEN TIMESTAMP '2024-01-01 00:01:00' ELSE TIMESTAMP '2024-01-01' END AS updated_at FROM vp""",

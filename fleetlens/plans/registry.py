@@ -191,6 +191,11 @@ BUILDERS: dict[str, Callable[[Views], DataFrame]] = {
     "sql_functions": lambda v: v._of(t.sql_functions),
     "flatten_orders": lambda v: v._of(t.flatten_orders),
     "landed_hours": lambda v: v._of(t.landed_hours),
+    "stream_ingest": lambda v: v._of(t.stream_ingest),
+    "mapped_fields": lambda v: v._of(t.mapped_fields),
+    "declared_table": lambda v: v._of(t.declared_table),
+    "compacted_files": lambda v: v._of(t.compacted_files),
+    "clustered_edges": lambda v: t.clustered_edges(v.bridge),
     "curated_merge": lambda v: v._of(t.curated_merge),
     "shape_statistics": lambda v: t.shape_statistics(v._of(a.shape_edges)),
     "schedule_head": lambda v: t.schedule_head(Views.daily_schedule(v)),

@@ -27,7 +27,7 @@ CELL, COARSE, STEPS = 8, 6, 2
 FILES = 16
 
 
-def _position_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+def position_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(entity) of each position, in the shape of the public feeds."""
     at = F.struct(F.col("latitude"), F.col("longitude"), F.col("speed"))
     trip = F.struct("trip_id", "route_id")
@@ -41,7 +41,7 @@ def _position_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def realtime_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every position as a JSON document, many documents in each of several files, read and conformed."""
     path = shared_path(spark, "documents")
-    found = _position_entities(spark, sf_dir).select(F.to_json(F.struct(F.array("entity").alias("entity"))).alias("value"))
+    found = position_entities(spark, sf_dir).select(F.to_json(F.struct(F.array("entity").alias("entity"))).alias("value"))
     found.repartition(FILES).write.option("compression", "gzip").text(path)
     read = realtime.vehicle_positions(realtime.tolerant(spark, path))
     rows = conform.conform(read, contracts.contract("stg_vehicle_positions"))
@@ -74,7 +74,7 @@ def _of_messages(messages: DataFrame) -> DataFrame:
 
 def protobuf_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every position in protobuf messages, decoded and conformed; coordinates are single precision there."""
-    read = realtime.vehicle_positions(_of_messages(_messages(_position_entities(spark, sf_dir))))
+    read = realtime.vehicle_positions(_of_messages(_messages(position_entities(spark, sf_dir))))
     rows = conform.conform(read, contracts.contract("stg_vehicle_positions"))
     return rows.select("vehicle_id", "trip_id", "route_id", "timestamp", "latitude", "longitude", "speed")
 

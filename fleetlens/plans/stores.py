@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlens import contracts
 from fleetlens.functions import geometry as g
 from fleetlens.functions import registered
 from fleetlens.operators import conform, quarantine, upsert
 from fleetlens.operators.flatten import flatten
 from fleetlens.plans import adapters as a
+from fleetlens.plans.rounds import position_entities
 from fleetlens.session import shared_path
 from fleetlens.sources import archive, landing
-from fleetlens.streaming import snapshots
+from fleetlens.streaming import ingest, snapshots
 
 START = 1704067200
 #: Events of this day are asked for by hour.
@@ -111,6 +114,63 @@ def landed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions in one feed for each vehicle, as they come in files: read as a stream in bounded batches, conformed, merged
+    by day and moved to an archive."""
+    path, table, progress, done = (shared_path(spark, n) for n in ("feeds", "positions", "progress", "done"))
+    entities = position_entities(spark, sf_dir).groupBy(F.col("entity.vehicle.vehicle.id").alias("v")).agg(F.collect_list("entity").alias("entity"))
+    documents = entities.select("v", F.to_json(F.struct(F.struct("entity").alias("response"))).alias("value"))
+    documents.repartition("v").write.partitionBy("v").text(path)  # a document in each file
+    contract = contracts.contract("stg_vehicle_positions")
+    ingest.ingest(spark, "vehicle_positions", contract, f"{path}/*", table, progress, archive=done).awaitTermination()
+    stamped = F.col("updated_at").isNotNull() & (F.col("updated_at") == F.date_trunc("SECOND", "updated_at"))
+    return spark.read.parquet(table).select("vehicle_id", "timestamp", "entity_id", F.length("record_id").alias("id_length"), stamped.alias("stamped"))
+
+
+MAPPED = conform.Contract(
+    name="orders_mapped",
+    schema=T.StructType.fromDDL("order_id bigint, status string, placed timestamp, clerk string"),
+    paths={"order_id": ("order.id", "id"), "status": ("order.state.code", "order.state.label"), "placed_s": ("placed",), "clerk": ("clerk.name",)},
+)
+
+
+def mapped_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested orders by the first of their paths that exists; a column without one is null."""
+    state = F.struct(F.col("o_orderstatus").alias("label"), F.lit(7).alias("unused"))
+    nested = a.table(spark, sf_dir, "orders").select(
+        F.struct(F.col("o_orderkey").cast("string").alias("id"), state.alias("state")).alias("order"),
+        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).cast("string").alias("placed"), F.lit("x").alias("other"),
+    )
+    return conform.conform(nested, MAPPED)
+
+
+def declared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops in a table made from its contract's DDL."""
+    contract = contracts.contract("stg_stops")
+    name = f"stops_{uuid.uuid4().hex}"
+    spark.sql(conform.ddl(dataclasses.replace(contract, name=name)).replace("USING parquet", f"USING parquet LOCATION '{shared_path(spark, name)}'"))
+    rows = a.stops(spark, sf_dir).withColumns({"stop_lat": F.lit(-36.5), "stop_lon": F.col("stop_id").cast("double") / 100})
+    conform.validated(conform.conform(rows, contract), contract).write.insertInto(name)
+    return spark.table(name).select("stop_id", "stop_name", "stop_lat", "stop_lon", "feed_hash", "zone_id")
+
+
+def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in many small files, by type and compacted; rows, and whether few files are left."""
+    many, few = shared_path(spark, "many"), shared_path(spark, "few")
+    a.table(spark, sf_dir, "events").select("event_type", "value").repartition(64).write.parquet(many)
+    landing.compact(spark, many, few)
+    found = spark.read.parquet(few)
+    files = found.select(F.input_file_name().alias("f")).distinct().agg((F.count("*") < 64).alias("fewer_files"))
+    return found.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).crossJoin(F.broadcast(files))  # one row
+
+
+def clustered_edges(bridge: DataFrame) -> DataFrame:
+    """The bridge of trips and edges as a table clustered by edge, read back for edges from E1 to E2."""
+    path = shared_path(bridge.sparkSession, "clustered")
+    upsert.clustered_table(bridge, path, "edge_id", "trip_id")
+    return bridge.sparkSession.read.parquet(path).where("edge_id between 'E1' and 'E2'").groupBy("edge_id").agg(F.count("*").alias("n"))
+
+
 def curated_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions by vehicle and instant: all are stored, and every third comes again with another place."""
     path = shared_path(spark, "curated")
