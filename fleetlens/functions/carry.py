@@ -23,7 +23,8 @@ def ends(df: DataFrame, series: str, time: str, tie: str, fields: Sequence[str])
 def neighbour(
     df: DataFrame, series: str, time: str, tie: str, fields: Sequence[str], name: str, after: bool = False, known: DataFrame | None = None
 ) -> DataFrame:
-    """df with a struct of the fields of the row before, or after, in its series by time and tie; null at the series' end.
+    """df with a struct of the fields of the row before, or after, in its series by time and tie; null at the series' end,
+    and for rows without a series or a time. The join goes by the keys that the rows are dealt out by already.
 
     known holds ends() of days that df lacks, as a run over a new day has them from the run before.
     """
@@ -37,5 +38,6 @@ def neighbour(
     days = Window.partitionBy(series).orderBy(DAY)  # a row a day
     carried = F.lead("first_row").over(days) if after else F.lag("last_row").over(days)
     other = each.select(F.col(series).alias("__series"), F.col(DAY).alias("__of"), carried.alias("__carried"))
-    met = within.join(other, F.col(series).eqNullSafe(F.col("__series")) & F.col(DAY).eqNullSafe(F.col("__of")), "left")
-    return met.withColumn(name, F.coalesce("__near", "__carried")).drop("__near", "__carried", "__series", "__of", DAY)
+    met = within.join(other, (F.col(series) == F.col("__series")) & (F.col(DAY) == F.col("__of")), "left")
+    near = F.when(F.col(series).isNotNull() & F.col(time).isNotNull(), F.coalesce("__near", "__carried"))
+    return met.withColumn(name, near).drop("__near", "__carried", "__series", "__of", DAY)

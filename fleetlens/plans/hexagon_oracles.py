@@ -145,3 +145,17 @@ SELECTS: dict[str, tuple[str, str, str]] = {  # name: (more tables, SQL, columns
         "avg_speed_kmh",
     ),
 }
+
+LAST_28 = "OVER (PARTITION BY {} ORDER BY service_date ROWS BETWEEN 27 PRECEDING AND CURRENT ROW)"
+SELECTS["mdl_unmonitored_h3_daily"] = (
+    "",
+    f"""SELECT *, avg(unmonitored_distance_m) {LAST_28.format("cell, route_mode")} AS rolling_28_day_avg_distance_m, 6::INTEGER AS corners
+    FROM ({SELECTS["agg_position_h3_day"][1]})""",
+    "unmonitored_distance_m rolling_28_day_avg_distance_m",
+)
+SELECTS["mdl_speed_h3_hourly"] = (
+    "",
+    f"""SELECT *, (avg_speed_kmh - avg_speed_kmh_28_day_rolling) / nullif(avg_speed_kmh_28_day_rolling, 0) AS pct_change_from_28_day_avg FROM (
+      SELECT *, avg(avg_speed_kmh) {LAST_28.format("cell, hour_utc, route_mode")} AS avg_speed_kmh_28_day_rolling FROM ({SELECTS["agg_speed_h3_hour"][1]}))""",
+    "avg_speed_kmh avg_speed_kmh_28_day_rolling pct_change_from_28_day_avg",
+)

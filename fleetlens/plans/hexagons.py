@@ -46,3 +46,13 @@ def agg_position_h3_day(vehicle: DataFrame) -> DataFrame:
 
 def agg_speed_h3_hour(vehicle: DataFrame) -> DataFrame:
     return m.agg_speed_grid_hour(vehicle, grid=GRID)
+
+
+def mdl_unmonitored_h3_daily(vehicle: DataFrame) -> DataFrame:
+    """With the corners of each cell's outline in place of the outline."""
+    found = m.mdl_unmonitored_grid_daily(agg_position_h3_day(vehicle), GRID)
+    return found.withColumn("corners", F.size(g.from_wkt(F.col("cell_geometry"))) - 1).drop("cell_geometry")
+
+
+def mdl_speed_h3_hourly(vehicle: DataFrame) -> DataFrame:
+    return m.mdl_speed_grid_hourly(agg_speed_h3_hour(vehicle))

@@ -209,6 +209,8 @@ BUILDERS: dict[str, Callable[[Views], DataFrame]] = {
     "h3_disk": lambda v: v._of(h.h3_disk),
     "agg_position_h3_day": lambda v: h.agg_position_h3_day(v.vehicle),
     "agg_speed_h3_hour": lambda v: h.agg_speed_h3_hour(v.vehicle),
+    "mdl_unmonitored_h3_daily": lambda v: h.mdl_unmonitored_h3_daily(v.vehicle),
+    "mdl_speed_h3_hourly": lambda v: h.mdl_speed_h3_hourly(v.vehicle),
 }
 
 

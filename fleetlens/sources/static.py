@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 ROWS = 5_000
 
 
-def archives(spark: SparkSession, path: str) -> DataFrame:
-    """(feed_hash, content, updated_at) of ZIP files; of equal ones the first."""
+def archives(spark: SparkSession, path: str, named: bool = False) -> DataFrame:
+    """(feed_hash, content, updated_at) of ZIP files; of equal ones the first. Where files are named by their hash already,
+    `named` takes it from the name, and contents are not hashed again."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
     return (
-        files.select(F.md5("content").alias("feed_hash"), "content", F.date_trunc("SECOND", "modificationTime").alias("updated_at"), "path")
+        files.select((F.regexp_extract("path", r"([^/]+)[.]zip$", 1) if named else F.md5("content")).alias("feed_hash"), "content", F.date_trunc("SECOND", "modificationTime").alias("updated_at"), "path")
         .withColumn("least", F.expr("min(path) over (partition by feed_hash)"))
         .where("path = least")
         .drop("path", "least")
