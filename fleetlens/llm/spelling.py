@@ -14,6 +14,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from operator import ne
 
 import ahocorasick
 import pyarrow as pa
@@ -75,14 +76,16 @@ def counted(docs: DataFrame, least_length: int = LEAST_LENGTH, *, id_col: str =
 
 def within_one(a: str, b: str) -> bool:
     """Whether one inserted, deleted or replaced letter makes b of a; not if they are equal."""
+    if len(a) == len(b):
+        return sum(map(ne, a, b)) == 1
     if len(a) > len(b):
         a, b = b, a
-    if a == b or len(b) - len(a) > 1:
+    if len(b) - len(a) > 1:
         return False
     at = 0
     while at < len(a) and a[at] == b[at]:
         at += 1
-    return a[at + (len(a) == len(b)) :] == b[at + 1 :]
+    return a[at:] == b[at + 1 :]
 
 
 def near_words(words: DataFrame, least_length: int = LEAST_LENGTH, shard: int = SHARD, *, keep=keep) -> DataFrame:
@@ -114,10 +117,12 @@ def near_words(words: DataFrame, least_length: int = LEAST_LENGTH, shard: int =
     asked = dealt(scanned, several).select("shard", "word").distinct().select(F.col("shard").alias("to"), F.col("word").alias("text"))
 
     def run(patterns: Iterator[pa.RecordBatch], texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at: dict[str, list[tuple[str, bool]]] = {}
+        # of each segment the rests of its words, by the words' length and the segment's side
+        at: dict[str, dict[tuple[int, bool], list[tuple[str, str]]]] = {}
         for b in patterns:
             for word, segment, head in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
-                at.setdefault(segment, []).append((word, head))
+                rest = word[len(segment) :] if head else word[: len(word) - len(segment)]
+                at.setdefault(segment, {}).setdefault((len(word), head), []).append((word, rest))
         if not at:
             return
         automaton = ahocorasick.Automaton()
@@ -127,14 +132,23 @@ def near_words(words: DataFrame, least_length: int = LEAST_LENGTH, shard: int =
         for b in texts:
             left, right = [], []
             for word in b.column(1).to_pylist():
+                n = len(word)
                 for end, (size, words_of) in automaton.iter(word):
-                    first, last = end + 1 == size, end + 1 == len(word)
-                    if first or last:
-                        for other, head in words_of:
-                            # one that the first segment finds is left to it
-                            if (first if head else last and not word.startswith(other[: len(other) // 2])) and within_one(word, other):
-                                left.append(word)
-                                right.append(other)
+                    if end + 1 == size:  # at the start
+                        own = word[size:]
+                        for length in (n - 1, n, n + 1):
+                            for other, rest in words_of.get((length, True), ()):
+                                if within_one(own, rest):
+                                    left.append(word)
+                                    right.append(other)
+                    if end + 1 == n:
+                        own = word[: n - size]
+                        for length in (n - 1, n, n + 1):
+                            for other, rest in words_of.get((length, False), ()):
+                                # one that the first segment finds is left to it
+                                if within_one(own, rest) and not word.startswith(rest):
+                                    left.append(word)
+                                    right.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string())], names=["word", "other"])
 
     return held.groupBy("shard").cogroup(asked.groupBy("to")).applyInArrow(_tables(run), "word string, other string")
