@@ -129,7 +129,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MAPPED = conform.Contract(
     name="orders_mapped",
-    schema=T.StructType.fromDDL("order_id bigint, status string, placed timestamp, clerk string"),
+    schema=T.StructType([T.StructField(n, t) for n, t in (
+        ("order_id", T.LongType()), ("status", T.StringType()), ("placed", T.TimestampType()), ("clerk", T.StringType()))]),
     paths={"order_id": ("order.id", "id"), "status": ("order.state.code", "order.state.label"), "placed_s": ("placed",), "clerk": ("clerk.name",)},
 )
 
