@@ -30,6 +30,8 @@ LEAST_LENGTH, LEAST_COUNT = 6, 5
 RATIO = 5
 #: Outer letters of a segment that its class goes by; a segment has three letters at least.
 EDGE = 3
+#: Letters of a segment that is held by an automaton; longer ones are looked up.
+LONG = 500
 #: Segments in an automaton.
 SHARD = 20_000
 #: Different words that a task counts before it passes them on.
@@ -127,13 +129,28 @@ def near_words(words: DataFrame, least_length: int = LEAST_LENGTH, shard: int =
             return
         automaton = ahocorasick.Automaton()
         for segment, words_of in at.items():
-            automaton.add_word(segment, (len(segment), words_of))
+            if len(segment) <= LONG:
+                automaton.add_word(segment, (len(segment), words_of))
         automaton.make_automaton()
+
+        def hits(word: str) -> Iterator[tuple[int, tuple[int, dict]]]:
+            """Last letter, length and words of the segments in a word. In words so long that only long segments fit
+            them, these are looked up at both ends, as one of many equal letters would stand everywhere."""
+            n = len(word)
+            if n // 2 - 1 <= LONG:
+                yield from automaton.iter(word) if len(automaton) else ()
+                return
+            for size in range(n // 2 - 1, n // 2 + 3):
+                if word[:size] in at:
+                    yield size - 1, (size, at[word[:size]])
+                if word[n - size :] in at:
+                    yield n - 1, (size, at[word[n - size :]])
+
         for b in texts:
             left, right = [], []
             for word in b.column(1).to_pylist():
                 n = len(word)
-                for end, (size, words_of) in automaton.iter(word):
+                for end, (size, words_of) in hits(word):
                     if end + 1 == size:  # at the start
                         own = word[size:]
                         for length in (n - 1, n, n + 1):
