@@ -249,7 +249,8 @@ def _top_k(vectors: DataFrame, k: int, every: int, id_col: str, vector_col: str,
             columns = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["q_row", "query_id", "vec_id", "score"])
 
-    met = index.join(asked, "lane").select("rows", "ids", "dims", "packed", "q_rows", "q_ids", "q_dims", "q_packed")
+    # merged, as the planner's estimate is that of the queries before they go to every lane
+    met = index.join(asked.hint("merge"), "lane").select("rows", "ids", "dims", "packed", "q_rows", "q_ids", "q_dims", "q_packed")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))  # a row holds two blocks
     try:
         found = keep(met.mapInArrow(run, "q_row long, query_id long, vec_id long, score long"), "found")

@@ -110,7 +110,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT_SEGMENT) -> D
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError("two segments find links of up to three bits")
     keys = _keys(fps, hot)
-    a, b = keys.alias("a"), keys.alias("b")
+    # merged, as the planner's estimate is that of the rows before they become 66 keys each
+    a, b = keys.alias("a"), keys.hint("merge").alias("b")
     bit = f"cast((shiftrightunsigned(a.k, {SEGMENT}) & 127) % {BLANKS} + if((shiftrightunsigned(a.k, {SEGMENT}) & 127) < {BLANKS}, 0, {SEGMENT}) as int)"
     whole = f"(shiftrightunsigned(a.k, {SEGMENT}) & 127) % {BLANKS} = {SEGMENT}"
     return (

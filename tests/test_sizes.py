@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from fleetlens.llm import bitslice, scratch, simhash
 from fleetlens.plans import stores
 
 
@@ -13,3 +14,18 @@ def test_curated_merge_keeps_reports_of_one_second(spark, tmp_path):
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
     got = stores.curated_merge(spark, str(tmp_path)).select("record_id", F.round("lng", 3)).collect()
     assert sorted(map(tuple, got)) == [("1", 174.761), ("2", 174.762), ("3", 175.763)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_become_many_are_not_broadcast(spark, monkeypatch):
+    fps = simhash.keep(spark.range(50).selectExpr("xxhash64(id) as fp"), "classes")
+    assert "SortMergeJoin [k" in _plan(simhash.links(fps)).replace("cast(", "")
+    kept = []
+    monkeypatch.setattr(bitslice.Tables, "keep", lambda self, df, name: kept.append((name, _plan(df))) or scratch.keep(df, name))
+    vectors = spark.createDataFrame([(n, [float(n), 1.0]) for n in range(60)], "vec_id long, embedding array<double>")
+    assert bitslice.top_k(vectors).count() == 10
+    found = dict(kept)["found"]
+    assert "SortMergeJoin [lane" in found and "BroadcastHashJoin" not in found
