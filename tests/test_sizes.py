@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fleetlens.llm import bitslice, scratch, simhash
-from fleetlens.plans import stores
+from fleetlens.plans import serving, stores
 
 
 def test_curated_merge_keeps_reports_of_one_second(spark, tmp_path):
@@ -16,6 +16,17 @@ def test_curated_merge_keeps_reports_of_one_second(spark, tmp_path):
     assert sorted(map(tuple, got)) == [("1", 174.761), ("2", 174.762), ("3", 175.763)]
 
 
+def test_trip_edges_come_dealt_out_by_trip(spark):
+    edges = spark.createDataFrame([(f"H{k % 2}", f"E{k}", "x", 1.0) for k in range(6)], "shape_id string, edge_id string, road_name string, overlap_m double")
+    trips = spark.range(100).selectExpr("concat('U', id) trip_id", "'R' route_id", "concat('H', id % 2) shape_id").coalesce(1)
+    bridge = serving.trip_edges(edges, trips)
+    assert bridge.count() == 300
+    per_task = bridge.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == 4 and max(r["count"] for r in per_task) < 150
+    distinct = bridge.groupBy("trip_id").agg(F.countDistinct("edge_id"))._jdf.queryExecution().executedPlan().toString()
+    assert distinct.count("Exchange hashpartitioning") + distinct.count("Exchange SinglePartition") <= 1
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
