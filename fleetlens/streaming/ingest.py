@@ -27,8 +27,11 @@ def ingest(
     read = realtime.READERS[kind]
 
     def merge(batch: DataFrame, _: int) -> None:
-        rows = validated(conform(read(realtime.entities(batch)), contract), contract)
-        upsert(batch.sparkSession, rows, table)
+        rows = validated(conform(read(realtime.entities(batch)), contract), contract).persist()  # the merge goes over them more than once
+        try:
+            upsert(batch.sparkSession, rows, table)
+        finally:
+            rows.unpersist()
 
     writer = stream(spark, path, archive=archive).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()

@@ -40,3 +40,13 @@ def test_rows_that_become_many_are_not_broadcast(spark, monkeypatch):
     assert bitslice.top_k(vectors).count() == 10
     found = dict(kept)["found"]
     assert "SortMergeJoin [lane" in found and "BroadcastHashJoin" not in found
+
+
+def test_feeds_are_as_many_as_hours(spark, tmp_path, monkeypatch):
+    rows = [(n, dt.datetime(2024, 1, 1, n % 2, n), n, "click", 1.0, '{"k": 3}') for n in range(40)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in/events.parquet")
+    monkeypatch.setattr(stores, "shared_path", lambda _, name: str(tmp_path / name))
+    got = stores.stream_ingest(spark, str(tmp_path / "in")).collect()
+    assert sorted(int(r.vehicle_id) for r in got) == list(range(40)) and all(r.stamped for r in got)
+    assert len(list((tmp_path / "feeds").glob("h=*"))) == 2
