@@ -2,9 +2,14 @@
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from fleetlens.functions import geometry as g
 from fleetlens.llm import bitslice, scratch, simhash
+from fleetlens.operators import spatial
 from fleetlens.plans import serving, stores
 
 
@@ -27,6 +32,36 @@ def test_trip_edges_come_dealt_out_by_trip(spark):
     assert distinct.count("Exchange hashpartitioning") + distinct.count("Exchange SinglePartition") <= 1
 
 
+def _lines(seed):
+    draw = np.random.default_rng(seed)
+    out = []
+    for n in (2, 1, 0, 5, 2, 3, 9, None, 2):
+        out.append(None if n is None else [{"lon": 174.7 + x, "lat": -36.9 + y} for x, y in draw.uniform(0, 0.0004, (n, 2))])
+    return out
+
+
+@pytest.mark.parametrize("pairs", [g.PAIRS, 7])
+def test_many_lines_at_once_as_one_by_one(monkeypatch, pairs):
+    of = lambda lines: g._points(*[pd.Series([None if x is None else np.array([p[f] for p in x]) for x in lines], dtype=object) for f in ("lon", "lat")])
+    a = [x for x in _lines(1) for _ in range(9)]
+    b = _lines(2) * 9
+    lengths, near = [g.overlap(x, y, 6.0) for x, y in zip(a, b)], [g.near(x, y, 6.0) for x, y in zip(a, b)]
+    monkeypatch.setattr(g, "PAIRS", pairs)
+    assert max(lengths) > 5 and np.allclose(g.overlaps(of(a), of(b), 6.0), lengths, atol=1e-6)
+    assert g.nears(of(a), of(b), 6.0).tolist() == near and {True, False, None} <= set(near)
+
+
+def test_roads_meet_only_shapes_beside_them(spark):
+    point = lambda x, y: {"lon": 174.7 + x, "lat": -36.9 + y}
+    schema = "line array<struct<lon:double,lat:double>>"
+    shapes = spark.createDataFrame([(f"s{k}", [point(0, k * 0.0005), point(0.009, k * 0.0005)]) for k in range(10)], f"shape_id string, {schema}")
+    roads = spark.createDataFrame([(f"r{k}", 0.0, [point(0, k * 0.0005), point(0.008, k * 0.0005)]) for k in range(10)], f"edge_id string, length_m double, {schema}")
+    found = spatial.match_shapes(shapes, roads.coalesce(1))
+    assert sorted((r.shape_id, r.edge_id) for r in found.collect()) == [(f"s{k}", f"r{k}") for k in range(10)]
+    shapes, roads = spatial._dealt(shapes, "shape_id", 25.0), spatial._dealt(roads, "edge_id", 0.0)
+    assert set(shapes.columns) >= {"bounds", "tile"} and shapes.join(roads.withColumnRenamed("bounds", "theirs"), "tile").count() > 10
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
