@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions import geometry as g
 from fleetlens.llm import bitslice, scratch, simhash
 from fleetlens.operators import spatial
-from fleetlens.plans import serving, stores
+from fleetlens.plans import rounds, serving, stores
 
 
 def test_curated_merge_keeps_reports_of_one_second(spark, tmp_path):
@@ -77,6 +77,16 @@ def test_rows_that_become_many_are_not_broadcast(spark, monkeypatch):
     assert "SortMergeJoin [lane" in found and "BroadcastHashJoin" not in found
 
 
+def test_no_file_holds_all_documents(spark, tmp_path, monkeypatch):
+    rows = [(n, dt.datetime(2024, 1, 1), 7, "click", 1.0, '{"k": 3}') for n in range(100)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/events.parquet")
+    monkeypatch.setattr(rounds, "FILE_DOCUMENTS", 3)
+    monkeypatch.setattr(rounds, "shared_path", lambda _, name: str(tmp_path / name))
+    assert rounds.realtime_round_trip(spark, str(tmp_path / "in")).count() == 100
+    assert len(list((tmp_path / "documents").glob("part-*"))) >= 34
+
+
 def test_feeds_are_as_many_as_hours(spark, tmp_path, monkeypatch):
     rows = [(n, dt.datetime(2024, 1, 1, n % 2, n), n, "click", 1.0, '{"k": 3}') for n in range(40)]
     schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
