@@ -6,11 +6,13 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from fleetlens.functions import geometry as g
 from fleetlens.llm import bitslice, scratch, simhash
 from fleetlens.operators import spatial
 from fleetlens.plans import rounds, serving, stores
+from fleetlens.sources import wire
 
 
 def test_curated_merge_keeps_reports_of_one_second(spark, tmp_path):
@@ -87,6 +89,16 @@ def test_no_file_holds_all_documents(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "documents").glob("part-*"))) >= 34
 
 
+def test_messages_are_decoded_one_at_a_time(spark, monkeypatch):
+    message = wire.encode({"header": {"gtfs_realtime_version": "2.0"}}, "FeedMessage")
+    feeds, kept = spark.createDataFrame([(message, 1), (None, 2), (b"\x07", 3)], "content binary, n int"), []
+    monkeypatch.setattr(DataFrame, "mapInPandas", lambda self, run, schema: kept.append(run) or self)
+    wire.documents(feeds)
+    parts = list(kept[0](iter([pd.DataFrame({"n": [1, 2, 3], "content": [message, None, b"\x07"]})])))
+    assert [len(p) for p in parts] == [1, 1, 1] and [p["n"].iloc[0] for p in parts] == [1, 2, 3]
+    assert "2.0" in parts[0]["document"].iloc[0] and parts[1]["document"].iloc[0] is None and parts[2]["error"].iloc[0]
+
+
 def test_feeds_are_as_many_as_hours(spark, tmp_path, monkeypatch):
     rows = [(n, dt.datetime(2024, 1, 1, n % 2, n), n, "click", 1.0, '{"k": 3}') for n in range(40)]
     schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
