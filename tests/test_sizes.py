@@ -11,7 +11,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 from fleetlens.functions import geometry as g
 from fleetlens.llm import bitslice, scratch, simhash
 from fleetlens.operators import spatial
-from fleetlens.plans import rounds, serving, stores
+from fleetlens.plans import registry, rounds, serving, stores
 from fleetlens.sources import wire
 
 
@@ -107,3 +107,27 @@ def test_feeds_are_as_many_as_hours(spark, tmp_path, monkeypatch):
     got = stores.stream_ingest(spark, str(tmp_path / "in")).collect()
     assert sorted(int(r.vehicle_id) for r in got) == list(range(40)) and all(r.stamped for r in got)
     assert len(list((tmp_path / "feeds").glob("h=*"))) == 2
+
+
+LINES = (
+    "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+    "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+)
+
+
+def _order_lines(spark, folder, n=40):
+    rows = [(k // 4, k % 9, k % 5, k % 4, float(k % 50), 1.0, 0.0, 0.02, "AR"[k % 2], "OF"[k % 2], dt.datetime(2024, 1, 1)) for k in range(n)]
+    spark.createDataFrame(rows, LINES).write.parquet(f"{folder}/lineitem.parquet")
+
+
+@pytest.mark.parametrize("name", ["fct_trip_event", "fct_trip"])
+def test_order_lines_are_shuffled_once_for_each_side(spark, tmp_path, name):
+    _order_lines(spark, tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = registry.queries()[name](spark, str(tmp_path))
+        plan = _plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(trip_id") == 2 == plan.count("Exchange ")
+    assert df.count() == (40 if name == "fct_trip_event" else 10)
