@@ -131,3 +131,12 @@ def test_order_lines_are_shuffled_once_for_each_side(spark, tmp_path, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning(trip_id") == 2 == plan.count("Exchange ")
     assert df.count() == (40 if name == "fct_trip_event" else 10)
+
+
+def test_updates_travel_in_compressed_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    _order_lines(spark, tmp_path / "in")
+    monkeypatch.setattr(rounds, "FILE_LINES", 3)
+    monkeypatch.setattr(rounds, "shared_path", lambda _, name: str(tmp_path / name))
+    assert rounds.updates_round_trip(spark, str(tmp_path / "in")).count() == 40
+    files = list((tmp_path / "updates").glob("part-*"))
+    assert len(files) >= 14 and all(f.name.endswith(".gz") for f in files)
