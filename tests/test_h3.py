@@ -1,6 +1,7 @@
 """The hexagonal index against published ids and its own geometry."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from fleetlens.functions import h3
@@ -130,3 +131,15 @@ def test_columns(spark):
         assert r.p == f"{(n & ~(15 << 52) & ~((1 << 21) - 1)) | 8 << 52 | (1 << 21) - 1:015x}" and r.none is None
         assert r.b.startswith("POLYGON((") and r.n == 19
         assert f"{h3.points_to_cells([r.lat], [r.lon], 10)[0]:015x}" == r.c
+
+
+def test_cells_come_in_batches_and_an_outline_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    plan = spark.range(9).select(h3.H3Grid().cell(F.col("id"), F.col("id"), 10))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "transform(" not in plan
+    made, outline = [], h3.outline
+    monkeypatch.setattr(h3, "outline", lambda c: made.append(c) or outline(c))
+    cells = [f"{x:015x}" for x in h3.points_to_cells(*everywhere(2, 5), 10)]
+    got = h3._outlines.func(pd.Series([*cells, None] * 4, dtype=object)).tolist()
+    assert sorted(made) == sorted(int(c, 16) for c in cells) and got == [*got[:2], None] * 4 and got[0].startswith("POLYGON((")
