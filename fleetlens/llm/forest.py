@@ -1,7 +1,7 @@
 """Quality rules: an isolation forest on rule statistics finds anomalous documents.
 
 Each tree cuts a small subsample of all documents by random splits of random statistics; a document that few splits
-isolate has a short path. Labels have no part in the trees; the threshold is calibrated on labelled rows.
+isolate has a short path. Labels have no part in the trees; the threshold is calibrated on all labelled rows.
 """
 
 from __future__ import annotations
@@ -11,18 +11,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.scratch import bounded_sample, keep
-from fleetlens.llm.textstats import COLUMNS, COUNTS, FEATURES, labelled_sample, measured
+from fleetlens.llm.textstats import COLUMNS, COUNTS, FEATURES, drawn, labelled, measured
 
-#: Documents that subsamples are drawn from, and labelled rows that the threshold is calibrated on, at most.
+#: Documents, or labelled rows of quality 1, that the trees' subsamples are drawn from, at most.
 SAMPLE_ROWS = 20_000
 TRAIN_ROWS = 20_000
 TREES = 150
 SUBSAMPLE = 256
 MOST_LOST = 0.003
+#: Ranges of anomalies whose labelled rows are counted before the threshold is looked for within them.
+RANGES = 4096
 
 
 def expected_path(n):
@@ -75,7 +77,6 @@ class Tree:
 class Forest:
     trees: list[Tree]
     typical: float
-    threshold: float = np.inf
 
     def anomaly(self, x: np.ndarray) -> np.ndarray:
         """0 to 1; short paths are near 1."""
@@ -96,51 +97,66 @@ def grown(x: np.ndarray, box: np.ndarray | None = None, trees: int = TREES, subs
     return Forest(made, float(max(1e-9, expected_path(size))))
 
 
-def calibrated(forest: Forest, x: np.ndarray, y: np.ndarray, most_lost: float = MOST_LOST) -> Forest:
-    """forest with the threshold that gains most on labelled rows while at most that share of rows labelled 1 lie at or
-    above it; of equally good ones the smallest. Without rows of both labels there is no threshold."""
-    if len(np.unique(y)) < 2:
-        return forest
-    values = forest.anomaly(x)
-    good, bad = np.sort(values[y == 1]), np.sort(values[y == 0])
-    tried = np.unique(values)
-    lost = 1 - np.searchsorted(good, tried, side="left") / len(good)
-    found = 1 - np.searchsorted(bad, tried, side="left") / len(bad)
-    allowed = np.flatnonzero(lost <= most_lost)
-    if len(allowed):
-        forest.threshold = float(tried[allowed[np.argmax((found - lost)[allowed])]])
-    return forest
+def box_of(rows: DataFrame) -> np.ndarray:
+    """(2, features): the least and largest value of each of COLUMNS over all rows."""
+    ends = [f(F.get("features", F.lit(k))) for f in (F.min, F.max) for k in COLUMNS]
+    return np.array(rows.agg(*ends).first(), float).reshape(2, -1)
+
+
+def threshold(scored: DataFrame, most_lost: float = MOST_LOST) -> float:
+    """The anomaly that gains most on scored(anomaly, quality) while at most that share of rows labelled 1 lie at or above
+    it; of equally good ones the smallest. Without rows of both labels, or one that is allowed, it is infinite.
+
+    Every row counts: rows are counted by range of anomalies, and by anomaly within its range.
+    """
+    counts = scored.groupBy("anomaly").agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
+    counts = keep(counts.withColumn("range", F.floor(F.col("anomaly") * RANGES).cast("int")), "anomalies")
+    ranges = counts.groupBy("range").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).orderBy("range").collect()  # RANGES + 1 at most
+    good, bad = sum(r.good for r in ranges), sum(r.bad for r in ranges)
+    if not good or not bad:
+        return float("inf")
+    before = np.cumsum([[0, 0], *([r.good, r.bad] for r in ranges)], axis=0).tolist()
+    rows = [(r.range, *b) for r, b in zip(ranges, before)]
+    below = scored.sparkSession.createDataFrame(rows, "range int, good_before long, bad_before long")
+    within = Window.partitionBy("range").orderBy("anomaly").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    share = lambda kind, n: 1 - (F.sum(kind).over(within) - F.col(kind) + F.col(f"{kind}_before")) / F.lit(float(n))
+    tried = counts.join(F.broadcast(below), "range").select("anomaly", share("good", good).alias("lost"), share("bad", bad).alias("found"))
+    best = tried.where(F.col("lost") <= most_lost).agg(F.max(F.struct(F.col("found") - F.col("lost"), -F.col("anomaly"))).alias("best")).first().best
+    return float("inf") if best is None else -float(best[1])
 
 
 def judged(docs: DataFrame, labels: DataFrame, sample_rows: int | None = None, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, anomaly, kept) for each row.
 
     base_failed: fewer than 10 words, or more than a fifth of them in windows of five that the text repeats. kept is
-    false for these and for documents at or above the forest's threshold. The trees' subsamples are drawn from at most
-    sample_rows documents, whatever their labels; where anomalies are no rare thing, without sample_rows, from the
-    labelled rows of quality 1, in the box of all labelled ones. The threshold is calibrated on at most train_rows
-    labelled rows. A null or blank text has zeros and fails. Without labels of both values nothing is above the
+    false for these and for documents at or above the forest's threshold. The trees' subsamples, SUBSAMPLE rows for each, are
+    drawn from at most sample_rows documents, whatever their labels, in the box of all; where anomalies are no rare thing,
+    without sample_rows, from at most train_rows labelled rows of quality 1, in the box of all labelled ones. The threshold
+    is calibrated on all labelled rows. A null or blank text has zeros and fails. Without labels of both values nothing is above the
     threshold. An empty table gives an empty result; other columns are not read.
     """
     stats = keep(measured(docs), "stats")
-    x, y = labelled_sample(stats, labels, train_rows, train_only=False)
-    x = x[:, COLUMNS]
+    known = labelled(stats, labels, train_only=False)
     if sample_rows is None:
-        trees = grown(x[y == 1], x)
+        pool, boxed = known.where("quality = 1"), known
+        x = drawn(pool, train_rows)[0]
     else:
-        drawn = bounded_sample(stats.select("doc_id", "features"), sample_rows).toPandas()["features"]
-        trees = grown(np.vstack(drawn.to_numpy())[:, COLUMNS] if len(drawn) else x[:0])
-    forest = calibrated(trees, x, y)
+        pool, boxed = stats.select("doc_id", "features", F.lit(0).alias("quality")), stats
+        x = drawn(pool, sample_rows)[0]
+    forest = grown(x[:, COLUMNS], box_of(boxed) if len(x) else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = b.column(b.num_columns - 1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))[:, COLUMNS]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(forest.anomaly(x))], names=["doc_id", *COUNTS, "anomaly"])
+            names = [*b.schema.names[:-1], "anomaly"]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(forest.anomaly(x))], names=names)
 
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", anomaly double"
+    scored = known.select("quality", "features").withColumn("quality", F.col("quality").cast("long")).mapInArrow(run, "quality long, anomaly double")
+    cut = threshold(scored)
     failed = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
     return (
         stats.mapInArrow(run, schema)
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < F.lit(float(forest.threshold))))
+        .withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < F.lit(cut)))
     )

@@ -650,6 +650,23 @@ def test_forest_agrees_with_plain_walks(spark, labelled):
     assert all(r.kept == (not r.base_failed and plain[k] < cut - 1e-12) for k, r in got.items())
 
 
+def test_the_threshold_counts_every_labelled_row(spark, labelled):
+    """Against trying every value, with ties, and whatever number of rows the trees are drawn from."""
+    draw = np.random.default_rng(4)
+    values, marks = np.round(draw.uniform(0.3, 0.7, 3000), 3), draw.integers(0, 2, 3000)
+    values[marks == 0] += 0.25
+    values[:2], marks[:2] = 1.0, 1
+    scored = spark.createDataFrame(list(zip(values.tolist(), marks.tolist())), "anomaly double, quality long")
+    good, bad, tried = np.sort(values[marks == 1]), np.sort(values[marks == 0]), np.unique(values)
+    lost, found = 1 - np.searchsorted(good, tried) / len(good), 1 - np.searchsorted(bad, tried) / len(bad)
+    allowed = np.flatnonzero(lost <= 0.003)
+    assert forest.threshold(scored) == tried[allowed[np.argmax((found - lost)[allowed])]]
+    assert forest.threshold(scored.where("quality = 1")) == np.inf == forest.threshold(scored.limit(0))
+    texts, marks, labels = labelled
+    few = {r.doc_id: r for r in forest.judged(docs_of(spark, texts), labels, 10_000, train_rows=3).collect()}
+    assert few == {r.doc_id: r for r in forest.judged(docs_of(spark, texts), labels, 10_000).collect()}
+
+
 # 7 ------------------------------------------------------------------------------------------------------------------
 
 
