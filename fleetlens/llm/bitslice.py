@@ -221,12 +221,16 @@ def _top_k(vectors: DataFrame, k: int, every: int, id_col: str, vector_col: str,
     spark = vectors.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     rows = keep(_rows(vectors, id_col, vector_col), "vectors")
-    lanes = LANES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lanes = LANES * tasks
     index = keep(_blocks(rows, block_rows).withColumn("lane", F.pmod(F.monotonically_increasing_id(), F.lit(lanes))), "index")
     taken = [r.lane for r in index.select("lane").distinct().collect()]  # at most `lanes` numbers
     asked = keep(_blocks(rows.where(F.col("id") % every == 0).coalesce(max(1, lanes // LANES)), BLOCK_QUERIES), "queries")
+    # where there are fewer blocks than tasks, a block goes to several, each with a part of the queries
+    parts = max(1, tasks // max(1, len(taken)))
+    index = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     asked = asked.select(
-        F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"), F.col("packed").alias("q_packed"),
+        F.pmod(F.xxhash64(F.col("rows")[0]), F.lit(parts)).cast("int").alias("part"), F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"), F.col("packed").alias("q_packed"),
         F.explode(F.array(*[F.lit(x).cast("long") for x in taken]) if taken else F.array().cast("array<bigint>")).alias("lane"),
     )
 
@@ -250,7 +254,9 @@ def _top_k(vectors: DataFrame, k: int, every: int, id_col: str, vector_col: str,
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["q_row", "query_id", "vec_id", "score"])
 
     # merged, as the planner's estimate is that of the queries before they go to every lane
-    met = index.join(asked.hint("merge"), "lane").select("rows", "ids", "dims", "packed", "q_rows", "q_ids", "q_dims", "q_packed")
+    # dealt to a fixed number of tasks, as few bytes make much work here
+    key = ["lane", "part"]
+    met = index.repartition(tasks, *key).join(asked.repartition(tasks, *key).hint("merge"), key).select("rows", "ids", "dims", "packed", "q_rows", "q_ids", "q_dims", "q_packed")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))  # a row holds two blocks
     try:
         found = keep(met.mapInArrow(run, "q_row long, query_id long, vec_id long, score long"), "found")

@@ -37,3 +37,27 @@ def test_word_counts_of_copies(spark):
         for r in passages._copies(spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "cast(text as binary) text"), passages.keep).collect()
     )
     assert got == [(2, 1, 3), (4, 2, 1), (5, 1, 3)]
+
+
+def test_queries_of_one_block_are_dealt_to_several_tasks(spark, monkeypatch):
+    from fleetlens.llm import bitslice
+
+    draw, tasks = np.random.default_rng(4), []
+    vectors = [(k, [float(x) for x in draw.normal(size=8)]) for k in range(600)]
+    keep = bitslice.Tables.keep
+
+    def counted(self, df, name):
+        kept = keep(self, df, name)
+        if name == "found":
+            tasks.append(len(kept.inputFiles()))
+        return kept
+
+    monkeypatch.setattr(bitslice.Tables, "keep", counted)
+    monkeypatch.setattr(bitslice, "BLOCK_QUERIES", 10)
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").coalesce(1)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in bitslice.top_k(df, every=5).collect()}
+    whole = np.floor(np.array([v for _, v in vectors]) * 256).astype(np.int64)
+    for q in range(0, 600, 5):
+        best = sorted((-int(whole[k] @ whole[q]), k) for k in range(600) if k != q)[:5]
+        assert [got[q, n + 1] for n in range(5)] == [(k, -s) for s, k in best]
+    assert tasks[0] > 1
