@@ -7,11 +7,13 @@ collapsed first, so that a group of copies of any size is one row of the index,
 number of neighbours within three bits.
 
 near_copies() does the same for a similarity of texts: its sketches are longer, are cut into more segments, and blank
-only the bits of a segment that an edit is likely to turn; what meets is compared by sketch and then as texts.
+only the bits of a segment that an edit is likely to turn; what meets is compared by sketch and then as texts. What the
+sketches miss is found by an exact check on the shingles.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -159,6 +161,8 @@ BLANKED = 8
 MOST_DIFFERENT = 115
 #: Candidate pairs that are broadcast at most, about 100 bytes each; more are joined by shuffle.
 BROADCAST_PAIRS = 300_000
+#: Shingles at most that are known as common, 8 bytes each in every task.
+COMMON = 500_000
 SALT = mixed(np.arange(1, BITS // 64 + 1, dtype=np.uint64))
 
 
@@ -247,6 +251,64 @@ def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.select("node", "other", "text", "theirs").mapInArrow(run, "node long, other long")
 
 
+def _prefixes(texts: DataFrame, least: float, common: np.ndarray) -> DataFrame:
+    """(k, node, n, at): of each of texts(node, text) the first of its n shingles, so many that two texts of at least that similarity
+    have one of them in common. Shingles of common (sorted) come last, then by value; any order that all texts share will do."""
+    known = texts.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, often = WordHashes(), known.value
+        for b in batches:
+            keys, nodes, sizes = [], [], []
+            for node, text in zip(b.column(0).to_pylist(), b.column(1)):
+                own = shingle_set(hashes.of(text.as_py()))
+                if len(often):
+                    is_common = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
+                    own = np.concatenate([own[~is_common], own[is_common]])
+                keys.append(own[: len(own) - math.ceil(least * len(own) - 1e-9) + 1])
+                nodes.append(node)
+                sizes.append(len(own))
+            each = [len(k) for k in keys]
+            at = np.concatenate([np.arange(n, dtype=np.int32) for n in each]) if each else np.zeros(0, np.int32)
+            columns = [
+                np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64),
+                np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(sizes, np.int32), each), at,
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "node", "n", "at"])
+
+    return texts.select("node", "text").mapInArrow(run, "k long, node long, n int, at int")
+
+
+def _common(texts: DataFrame) -> np.ndarray:
+    """Shingles of several texts of a sample, sorted, at most COMMON. They only decide the order of shingles, not which
+    pairs are found."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            for text in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(hashes.of(text.as_py())).view(np.int64))], names=["k"])
+
+    some = texts.where(sampled("node")).select("text").mapInArrow(run, "k long").groupBy("k").count()
+    found = some.where(F.col("count") >= 4).orderBy(F.desc("count"), "k").limit(COMMON).select("k").toArrow()
+    return np.sort(found.column(0).to_numpy().view(np.uint64))
+
+
+def _missed(texts: DataFrame, parts: DataFrame, least: float, keep) -> DataFrame:
+    """Pairs(node, other) of texts(node, text) in different parts(member, part) that may be similar: all that are, whatever their
+    sketches say. By the prefix filter: similar texts have one of their first shingles in common, are of like sizes, and
+    have enough shingles left from the first that they share."""
+    rows = _prefixes(texts, least, _common(texts)).join(parts, F.col("node") == F.col("member"), "left")
+    rows = keep(rows.select("k", "node", "n", "at", F.coalesce("part", "node").alias("part")), "prefixes")
+    several = rows.groupBy("k").agg(F.min("part").alias("one"), F.max("part").alias("another")).where("one < another").select("k")
+    rows = keep(rows.join(keep(several, "several"), "k", "left_semi"), "shared")
+    a, b = rows.alias("a"), rows.alias("b")
+    alike = f"least(a.n, b.n) >= {least} * greatest(a.n, b.n) - 1e-9"
+    enough = f"least(a.n - a.at, b.n - b.at) >= {least / (1 + least)!r} * (a.n + b.n) - 1e-9"
+    met = a.join(b, F.expr(f"a.k = b.k and a.node > b.node and a.part <> b.part and {alike} and {enough}"))
+    return met.select(F.col("a.node").alias("node"), F.col("b.node").alias("other")).distinct()
+
+
 def near_copies(docs: DataFrame, least: float = SIMILARITY, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, n, stays): whether the rows of docs with this id and this md5 of the text stand for their group.
 
@@ -258,7 +320,9 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY, *, id_col: str = "do
     ones, whose sketches differ in at most MOST_DIFFERENT bits. Each text is compared with two that lead its buckets:
     that which it meets most often, and the smallest. Then, as long as links come up, each text with the smallest text
     of every other group in its buckets; so a group of copies makes few pairs, whatever its size, and no group that a
-    bucket holds is passed over. Texts without a word are copies of each other only.
+    bucket holds is passed over. Last, what sketches miss is found exactly: of texts that are in different groups, all
+    that one of their first shingles lets be similar are compared (_missed()), so that no similar pair ends in two groups.
+    Texts without a word are copies of each other only.
     """
     with Tables() as tables:
         return keep(_near_copies(docs, least, id_col, text_col, tables.keep), "copies")
@@ -314,6 +378,12 @@ def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep
         if found.isEmpty():
             break
         tried, links, open_ = tried.unionByName(fresh), keep(links.unionByName(found), "links"), open_.select("k", "node")
+    # what sketches miss: pairs that share no bucket, whose sketches differ in more bits, or that were not compared
+    shown = named.join(classes.where("sketch is not null").select("id", "h", "node"), ["id", "h"]).select("node", "text")
+    grouped = _parts(links).select(F.col("node").alias("member"), F.col("component").alias("part"))
+    rest = keep(_missed(shown, grouped, least, keep), "rest")
+    if not rest.isEmpty():
+        links = keep(links.unionByName(_similar(rest, texts_of(rest), least)), "links")
     gone = _parts(links).where("node > component").select("node")
     stay = classes.join(gone, "node", "left_anti").select("id", "h", F.lit(True).alias("stays"))
     return rows.join(stay, ["id", "h"], "left").select("id", "h", "n", F.coalesce("stays", F.lit(False)).alias("stays"))
