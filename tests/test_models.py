@@ -164,6 +164,24 @@ def test_trip_chain(spark):
     assert legs[2].vp_avg_speed_kmh is None and legs[2].vp_count == 0 and legs[1].speed_kmh == 60.0
 
 
+EVENTS = (
+    "service_date long, service_date_dt date, feed_hash string, route_id string, direction_id long, trip_id string, stop_id string, stop_sequence long, "
+    "vehicle_id string, scheduled_arrival timestamp, scheduled_departure timestamp, actual_arrival timestamp, actual_departure timestamp, "
+    "rt_event_ts_utc timestamp, early_late_s long, otp_flag boolean, is_observed boolean, is_predicted boolean, schedule_relationship string"
+)
+
+
+def test_commonest_vehicle_of_many_trips(spark):
+    """More trips than a task groups by hash; the first rows of a trip are counted before it turns to sorting, the others after."""
+    fields = [f.split() for f in EVENTS.split(", ")]
+    at = {"service_date": 20240101, "service_date_dt": dt.date(2024, 1, 1), "feed_hash": "f", "route_id": "R1", "direction_id": 0}
+    stops = [at | {"trip_id": f"t{k}", "stop_id": str(n), "stop_sequence": n, "vehicle_id": v} for n, v in enumerate(("b", "a", "b", None, None, None, "c")) for k in range(300)]
+    events = spark.createDataFrame([tuple(r.get(c) for c, _ in fields) for r in stops], EVENTS).coalesce(1)
+    few = m.fct_trip(events.where("stop_sequence < 5")).groupBy("vehicle_id").count()
+    assert rows(few) == [("b", 300)]  # as often as null, which comes last
+    assert rows(m.fct_trip(events).groupBy("vehicle_id").count()) == [(None, 300)]
+
+
 def test_rows_are_not_days(spark):
     df = spark.createDataFrame([("a", dt.date(2024, 1, 1), 1.0), ("a", dt.date(2024, 1, 2), 2.0), ("a", dt.date(2024, 2, 10), 6.0)], "k string, service_date date, x double")
     got = df.select("x", rolling.rolling_mean("x", ["k"]).alias("r"), rolling.rolling_mean("x", ["k"], by="days").alias("d")).orderBy("x").collect()
