@@ -19,12 +19,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.graph import connected_components
 from fleetlens.llm.groups import crowded, numbered, sampled
-from fleetlens.llm.scratch import Tables, keep, small_batches, spread
+from fleetlens.llm.scratch import Tables, drop, keep, small_batches, spread
 from fleetlens.llm.shingles import WordHashes, mixed, shingle_set, similarity
 
 SEED = 42
@@ -155,8 +155,9 @@ def near_duplicates(
 SIMILARITY = 0.8
 SEGMENTS, SEGMENT_BITS = 24, 24
 BITS = SEGMENTS * SEGMENT_BITS
-#: Bits of a segment that are blanked, one at a time: those with the narrowest majorities, which an edit turns first.
-BLANKED = 8
+#: Bits of a segment that are blanked, one at a time: those with the narrowest majorities, which an edit turns first. Sketches only
+#: have to bring large groups together, as an exact check follows; with 8 bits they took more disk than all the rest.
+BLANKED = 2
 #: Differing bits up to which candidates are compared as texts: 3.2 standard deviations above the mean at similarity 0.8.
 MOST_DIFFERENT = 115
 #: Candidate pairs that are broadcast at most, about 100 bytes each; more are joined by shuffle.
@@ -251,35 +252,31 @@ def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.select("node", "other", "text", "theirs").mapInArrow(run, "node long, other long")
 
 
-def _prefixes(texts: DataFrame, least: float, common: np.ndarray) -> DataFrame:
-    """(k, node, n, at): of each of texts(node, text) the first of its n shingles, so many that two texts of at least that similarity
+def _prefixes(named: DataFrame, least: float, common: np.ndarray) -> DataFrame:
+    """(id, h, n, keys): of each of named(id, h, text) the first of its n shingles, so many that two texts of at least that similarity
     have one of them in common. Shingles of common (sorted) come last, then by value; any order that all texts share will do."""
-    known = texts.sparkSession.sparkContext.broadcast(common)
+    known = named.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, often = WordHashes(), known.value
         for b in batches:
-            keys, nodes, sizes = [], [], []
-            for node, text in zip(b.column(0).to_pylist(), b.column(1)):
+            keys, sizes = [], []
+            for text in b.column(2):
                 own = shingle_set(hashes.of(text.as_py()))
                 if len(often):
                     is_common = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
                     own = np.concatenate([own[~is_common], own[is_common]])
                 keys.append(own[: len(own) - math.ceil(least * len(own) - 1e-9) + 1])
-                nodes.append(node)
                 sizes.append(len(own))
-            each = [len(k) for k in keys]
-            at = np.concatenate([np.arange(n, dtype=np.int32) for n in each]) if each else np.zeros(0, np.int32)
-            columns = [
-                np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64),
-                np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(sizes, np.int32), each), at,
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "node", "n", "at"])
+            ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
+            values = np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)
+            columns = [*b.columns[:2], pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "n", "keys"])
 
-    return texts.select("node", "text").mapInArrow(run, "k long, node long, n int, at int")
+    return named.select("id", "h", "text").mapInArrow(run, "id long, h string, n int, keys array<long>")
 
 
-def _common(texts: DataFrame) -> np.ndarray:
+def _common(named: DataFrame) -> np.ndarray:
     """Shingles of several texts of a sample, sorted, at most COMMON. They only decide the order of shingles, not which
     pairs are found."""
 
@@ -289,24 +286,30 @@ def _common(texts: DataFrame) -> np.ndarray:
             for text in b.column(0):
                 yield pa.RecordBatch.from_arrays([pa.array(shingle_set(hashes.of(text.as_py())).view(np.int64))], names=["k"])
 
-    some = texts.where(sampled("node")).select("text").mapInArrow(run, "k long").groupBy("k").count()
+    some = named.where(sampled("id")).select("text").mapInArrow(run, "k long").groupBy("k").count()
     found = some.where(F.col("count") >= 4).orderBy(F.desc("count"), "k").limit(COMMON).select("k").toArrow()
     return np.sort(found.column(0).to_numpy().view(np.uint64))
 
 
-def _missed(texts: DataFrame, parts: DataFrame, least: float, keep) -> DataFrame:
-    """Pairs(node, other) of texts(node, text) in different parts(member, part) that may be similar: all that are, whatever their
-    sketches say. By the prefix filter: similar texts have one of their first shingles in common, are of like sizes, and
-    have enough shingles left from the first that they share."""
-    rows = _prefixes(texts, least, _common(texts)).join(parts, F.col("node") == F.col("member"), "left")
-    rows = keep(rows.select("k", "node", "n", "at", F.coalesce("part", "node").alias("part")), "prefixes")
-    several = rows.groupBy("k").agg(F.min("part").alias("one"), F.max("part").alias("another")).where("one < another").select("k")
-    rows = keep(rows.join(keep(several, "several"), "k", "left_semi"), "shared")
+def _missed(named: DataFrame, texts: DataFrame, least: float, keep) -> DataFrame:
+    """Pairs(node, other) of texts(id, h, node, part), rows of named(id, h, text), in different parts that may be similar: all that are,
+    whatever their sketches say. By the prefix filter: similar texts have one of their first shingles in common, are of like
+    sizes, and have enough shingles left from the first that they share. After the first shingles of the one whose end earlier in the
+    common order no more than ceil(least * n) - 1 of its own follow, so what they share of the first has to make up for the rest.
+    """
+    each = _prefixes(named, least, _common(named)).join(texts, ["id", "h"]).select("node", "part", "n", F.posexplode("keys").alias("at", "k"))
+    same = Window.partitionBy("k")
+    rows = each.select("*", F.min("part").over(same).alias("one"), F.max("part").over(same).alias("another")).where("one < another")
+    rows = keep(rows.drop("one", "another"), "shared")
     a, b = rows.alias("a"), rows.alias("b")
     alike = f"least(a.n, b.n) >= {least} * greatest(a.n, b.n) - 1e-9"
-    enough = f"least(a.n - a.at, b.n - b.at) >= {least / (1 + least)!r} * (a.n + b.n) - 1e-9"
-    met = a.join(b, F.expr(f"a.k = b.k and a.node > b.node and a.part <> b.part and {alike} and {enough}"))
-    return met.select(F.col("a.node").alias("node"), F.col("b.node").alias("other")).distinct()
+    met = a.join(b, F.expr(f"a.k = b.k and a.node > b.node and a.part <> b.part and {alike}"))
+    pairs = met.groupBy(F.col("a.node").alias("node"), F.col("b.node").alias("other")).agg(
+        F.count("*").alias("common"), *[F.min(f"{x}.{c}").alias(f"{x}_{c}") for x in "ab" for c in ("n", "at")]
+    )
+    needed = f"{least / (1 + least)!r} * (a_n + b_n) - 1e-9"
+    enough = f"least(a_n - a_at, b_n - b_at) >= {needed} and common + ceil({least} * greatest(a_n, b_n) - 1e-9) - 1 >= {needed}"
+    return pairs.where(enough).select("node", "other")
 
 
 def near_copies(docs: DataFrame, least: float = SIMILARITY, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -338,6 +341,7 @@ def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep
     # numbers in the order of the leading rows
     classes = prints.groupBy("content").agg(F.min(F.struct("id", "h")).alias("lead"), F.min("sketch").alias("sketch")).orderBy("lead")
     classes = keep(classes.select("lead.*", "sketch", F.monotonically_increasing_id().alias("node")), "classes")
+    drop(prints)
     known = classes.where("sketch is not null").select("node", "sketch")
     members = keep(numbered(_wide_keys(spread(known, "node")), "k", "node", crowded(_wide_keys(known.where(sampled("node"))), "k", keep), keep=keep), "members")
     # of the leaders of a text's buckets that which it meets most often, and the smallest
@@ -346,6 +350,7 @@ def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep
     ends = keep(ends, "ends")
     both = ends.select("node", F.explode(F.array_distinct(F.array("best", "other"))).alias("other"))
     tried = keep(both, "asked")
+    drop(ends)
     best = keep(_close(tried, known, MOST_DIFFERENT), "best")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
@@ -356,34 +361,51 @@ def _near_copies(docs: DataFrame, least: float, id_col: str, text_col: str, keep
         once = found.where("n = 1").select("node", "text")
         if not wanted.where("n > 1").isEmpty():
             once = once.unionByName(found.where("n > 1").select("node", "text").dropDuplicates(["node"]))
-        return keep(once, "texts")
-
-    links = keep(_similar(best, texts_of(best), least), "links")
+        texts = keep(once, "texts")
+        drop(wanted)
+        return texts
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """_similar() of pairs, whose texts are deleted when they are compared."""
+        texts = texts_of(pairs)
+        found = keep(_similar(pairs, texts, least), "found")
+        for done in (texts, pairs):
+            drop(done)
+        return found
+
+    links = similar(best)
     # groups that a bucket holds are tried against each other, by their smallest texts there, until no two join
-    open_ = members.select("k", "node")
+    open_, rows_of = members.select("k", "node"), members
     while True:
         parts = _parts(links).select(F.col("node").alias("member"), F.col("component").alias("part"))
         known_as = open_.join(parts, F.col("node") == F.col("member"), "left").select("k", "node", F.coalesce("part", "node").alias("part"))
         named_as = keep(known_as, "grouped")
+        drop(rows_of)
         several = named_as.groupBy("k").agg(F.min("part").alias("one"), F.max("part").alias("another")).where("one < another").select("k")
-        open_ = keep(named_as.join(keep(several, "several"), "k", "left_semi"), "open")
+        several = keep(several, "several")
+        rows_of = keep(named_as.join(several, "k", "left_semi"), "open")
+        for done in (named_as, several):
+            drop(done)
+        open_ = rows_of
         leads = keep(open_.groupBy("k", "part").agg(F.min("node").alias("lead")), "leads")
         met = open_.join(leads.select("k", F.col("part").alias("theirs"), "lead"), "k").where("part <> theirs")
         pairs = met.select(F.greatest("node", "lead").alias("node"), F.least("node", "lead").alias("other")).distinct()
         fresh = keep(pairs.join(tried, ["node", "other"], "left_anti"), "asked")
+        drop(leads)
         close = keep(_close(fresh, known, MOST_DIFFERENT), "pairs")
         if close.isEmpty():
             break
-        found = keep(_similar(close, texts_of(close), least), "found")
+        found = similar(close)
         if found.isEmpty():
             break
         tried, links, open_ = tried.unionByName(fresh), keep(links.unionByName(found), "links"), open_.select("k", "node")
+    drop(rows_of)
     # what sketches miss: pairs that share no bucket, whose sketches differ in more bits, or that were not compared
-    shown = named.join(classes.where("sketch is not null").select("id", "h", "node"), ["id", "h"]).select("node", "text")
-    grouped = _parts(links).select(F.col("node").alias("member"), F.col("component").alias("part"))
-    rest = keep(_missed(shown, grouped, least, keep), "rest")
+    parts = _parts(links).select(F.col("node").alias("member"), F.col("component").alias("part"))
+    shown = classes.where("sketch is not null").join(parts, F.col("node") == F.col("member"), "left")
+    rest = keep(_missed(named, shown.select("id", "h", "node", F.coalesce("part", "node").alias("part")), least, keep), "rest")
     if not rest.isEmpty():
-        links = keep(links.unionByName(_similar(rest, texts_of(rest), least)), "links")
+        links = keep(links.unionByName(similar(rest)), "links")
     gone = _parts(links).where("node > component").select("node")
     stay = classes.join(gone, "node", "left_anti").select("id", "h", F.lit(True).alias("stays"))
     return rows.join(stay, ["id", "h"], "left").select("id", "h", "n", F.coalesce("stays", F.lit(False)).alias("stays"))
